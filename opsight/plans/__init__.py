@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ("scalars", "windows", "joins", "detection")
+AREAS = ("scalars", "windows", "joins", "detection", "decisions")
 
 
 def load_all() -> None:

@@ -30,7 +30,7 @@ def enrich_catalog(t):
 
 @query("asof_join", """
 SELECT m.tiebreak, c.change_id, c.change_type, coalesce(c.deployment_version, 'v0') AS deployment_version,
-       round(date_diff('microsecond', c.change_ts, m.ts) / 6e7, 6) AS minutes_since_change
+       date_diff('microsecond', c.change_ts, m.ts) / 6e7 AS minutes_since_change
 FROM metrics m ASOF LEFT JOIN changes c ON m.user_id = c.user_id AND m.ts >= c.change_ts""")
 def asof_join(t):
     left = t.metrics.select("user_id", "ts", "tiebreak")
@@ -39,7 +39,7 @@ def asof_join(t):
     return joined.select(
         "tiebreak", "change_id", "change_type",
         F.coalesce("deployment_version", F.lit("v0")).alias("deployment_version"),
-        F.round(minutes_between("ts", "change_ts"), 6).alias("minutes_since_change"),
+        minutes_between("ts", "change_ts").alias("minutes_since_change"),
     )
 
 

@@ -122,7 +122,7 @@ WITH c AS (
            OVER ({OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_event_ts
   FROM metrics)
 SELECT tiebreak, last_event_ts,
-       round(coalesce(date_diff('microsecond', last_event_ts, ts) / 6e7, 9999.0), 6) AS minutes_since_event,
+       coalesce(date_diff('microsecond', last_event_ts, ts) / 6e7, 9999.0) AS minutes_since_event,
        CASE WHEN coalesce(date_diff('microsecond', last_event_ts, ts) / 6e7, 9999.0) BETWEEN 0 AND 60
             THEN 1 ELSE 0 END AS recent_event
 FROM c""")
@@ -130,7 +130,7 @@ def since_last_event(t):
     m = t.metrics.select("service", "ts", "tiebreak", "deployment_event")
     df = W.since_last_event(m, KEYS, ORDER, F.col("deployment_event") == 1)
     return df.select("tiebreak", "last_event_ts",
-                     F.round("minutes_since_event", 6).alias("minutes_since_event"), "recent_event")
+                     "minutes_since_event", "recent_event")
 
 
 @query("deployment_group", f"""
