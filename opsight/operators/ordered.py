@@ -52,28 +52,33 @@ def _attach(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame
     return df.join(summary, [*keys, BUCKET], "inner")
 
 
+def _bucket_of(order: Sequence[str], bucket: str | Column) -> Column:
+    return time_bucket(order[0], bucket) if isinstance(bucket, str) else bucket
+
+
 def positions(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: str = "1 hour",
+    bucket: str | Column = "1 hour",
     index: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_pos``: the 0-based place of each row in its series, ``order[0]`` being the time.
 
+    ``bucket`` is a time width, or a column that never decreases along ``order``.
     ``index`` is any relation with the same keys and times, row for row. Passing the base
     scan keeps the count pass to two columns when ``df`` is a long derivation of it.
     """
     source = df if index is None else index
     counts = (
-        source.select(*keys, time_bucket(order[0], bucket).alias(BUCKET))
+        source.select(*keys, _bucket_of(order, bucket).alias(BUCKET))
         .groupBy(*keys, BUCKET)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     offsets = counts.select(
         *keys, BUCKET, F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_offset")
     )
-    numbered = df.withColumn(BUCKET, time_bucket(order[0], bucket)).withColumn(
+    numbered = df.withColumn(BUCKET, _bucket_of(order, bucket)).withColumn(
         "_rn", F.row_number().over(_inside(keys, order))
     )
     placed = _attach(numbered, offsets, keys)
