@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ("scalars", "windows", "joins", "detection", "decisions")
+AREAS = ("scalars", "windows", "joins", "detection", "decisions", "metrics")
 
 
 def load_all() -> None:

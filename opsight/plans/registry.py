@@ -66,8 +66,11 @@ def views_used(sql: str) -> list[str]:
 def full_sql(sql: str) -> str:
     ctes = [f"{v} AS ({VIEWS[v].format(**{t: t for t in TABLES}, **{n: n for n in VIEWS})})" for v in views_used(sql)]
     body = sql.strip()
+    head = "WITH "
+    if body[:15].upper() == "WITH RECURSIVE ":
+        head, body = "WITH RECURSIVE ", "WITH " + body[15:]
     if not ctes:
-        return body
+        return head + body[5:] if body[:5].upper() == "WITH " else body
     if body[:5].upper() == "WITH ":
-        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+        return head + ",\n".join(ctes) + ",\n" + body[5:]
+    return head + ",\n".join(ctes) + "\n" + body
