@@ -87,7 +87,7 @@ def to_int_or(c: ColumnOrName, default: int = 0) -> Column:
 
 def strip(c: ColumnOrName) -> Column:
     """Trim every kind of whitespace, not only spaces."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(col(c), r"(?U)^\s+|\s+\z", "")
 
 
 def normalize_severity(c: ColumnOrName) -> Column:

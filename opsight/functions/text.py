@@ -40,7 +40,7 @@ REDACTIONS = (
     (r"(?i)(authorization:\s*bearer\s+)[A-Za-z0-9._\-]+", "$1[REDACTED_TOKEN]"),
     (r"(?i)(api[_-]?key=)[A-Za-z0-9._\-]+", "$1[REDACTED_API_KEY]"),
     (r"(?i)(password=)[^&\s]+", "$1[REDACTED_PASSWORD]"),
-    (r"(?U)\b[\w\.-]+@[\w\.-]+\.\w+\b", "[REDACTED_EMAIL]"),
+    (r"\b[\w\.-]+@[\w\.-]+\.\w+\b", "[REDACTED_EMAIL]"),
 )
 
 # Variable parts of a log line and their placeholders, in this order.
@@ -55,9 +55,14 @@ TEMPLATES = (
 TEMPLATE_CHARS = 500
 
 
+def unicode_aware(pattern: str) -> str:
+    """Word, digit, space and boundary classes over all of Unicode."""
+    return "(?U)" + pattern
+
+
 def _replace_all(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
     for pattern, replacement in rules:
-        c = F.regexp_replace(c, pattern, replacement)
+        c = F.regexp_replace(c, unicode_aware(pattern), replacement)
     return c
 
 
@@ -67,7 +72,7 @@ def text_of(c: Column | str) -> Column:
 
 def finding_counts(c: Column | str) -> dict[str, Column]:
     """Number of matches of each kind. The matched secrets themselves are not kept."""
-    return {f"n_{kind}": F.regexp_count(text_of(c), F.lit(p)) for kind, p in PATTERNS.items()}
+    return {f"n_{kind}": F.regexp_count(text_of(c), F.lit(unicode_aware(p))) for kind, p in PATTERNS.items()}
 
 
 def protect_text(c: Column | str) -> Column:
@@ -77,7 +82,7 @@ def protect_text(c: Column | str) -> Column:
 def risk_points(c: Column | str) -> Column:
     score = F.lit(0)
     for kind, pattern in PATTERNS.items():
-        score = score + F.when(F.regexp_like(text_of(c), F.lit(pattern)), RISK_POINTS[kind]).otherwise(0)
+        score = score + F.when(F.regexp_like(text_of(c), F.lit(unicode_aware(pattern))), RISK_POINTS[kind]).otherwise(0)
     return score
 
 
@@ -94,11 +99,11 @@ def pseudonym(value: Column | str, salt: str, length: int = 16) -> Column:
 
 
 def first_match(c: Column | str, kind: str) -> Column:
-    return F.regexp_extract(text_of(c), PATTERNS[kind], 0)
+    return F.regexp_extract(text_of(c), unicode_aware(PATTERNS[kind]), 0)
 
 
 def mask_ip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), IP_PARTS, "$1.x.x")
+    return F.regexp_replace(col(c), unicode_aware(IP_PARTS), "$1.x.x")
 
 
 def redact(c: Column | str) -> Column:
@@ -125,7 +130,7 @@ def chunk_text(c: Column | str, max_chars: int = 1200, overlap: int = 200) -> Co
     is prefixed with the tail of the one before.
     """
     step = max_chars - overlap
-    trimmed = F.transform(F.split(text_of(c), r"\n\s*\n"), lambda p: strip(p))
+    trimmed = F.transform(F.split(text_of(c), unicode_aware(r"\n\s*\n")), lambda p: strip(p))
     paragraphs = F.filter(trimmed, lambda p: p != "")
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
 

@@ -86,6 +86,13 @@ def vector_topk(
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _nearest(distance: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the ``k`` smallest values and of everything tied with the last of them."""
+    if len(distance) <= k:
+        return np.arange(len(distance))
+    return np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
+
+
 def _scorer(rows, k: int, base_id: str, vector: str):
     names = [r[0] for r in rows]
     q = np.array([r[1] for r in rows], dtype=float)
@@ -100,11 +107,13 @@ def _scorer(rows, k: int, base_id: str, vector: str):
             denominator = q_norm[:, None] * np.linalg.norm(m, axis=1)[None, :]
             dots = q @ m.T
             similarity = np.divide(dots, denominator, out=np.zeros_like(dots), where=denominator != 0)
+            distance, base_ids = 1.0 - similarity, pdf[base_id].to_numpy()
+            kept = [_nearest(distance[i], k) for i in range(len(names))]
             found = pd.DataFrame(
                 {
-                    "query_id": np.repeat(names, len(pdf)),
-                    base_id: np.tile(pdf[base_id].to_numpy(), len(names)),
-                    "distance": (1.0 - similarity).ravel(),
+                    "query_id": np.repeat(names, [len(ix) for ix in kept]),
+                    base_id: np.concatenate([base_ids[ix] for ix in kept]),
+                    "distance": np.concatenate([distance[i][ix] for i, ix in enumerate(kept)]),
                 }
             )
             merged = found if best is None else pd.concat([best, found])
