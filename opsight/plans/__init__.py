@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ("scalars", "windows", "joins", "detection", "decisions", "metrics", "text", "governance")
+AREAS = ("scalars", "windows", "joins", "detection", "decisions", "metrics", "text", "governance", "streams")
 
 
 def load_all() -> None:
