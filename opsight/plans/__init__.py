@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-AREAS = ("scalars", "windows", "joins", "detection", "decisions", "metrics", "text", "governance", "streams")
+AREAS = (
+    "scalars", "windows", "joins", "detection", "decisions", "metrics", "text", "governance", "streams", "models",
+)
 
 
 def load_all() -> None:
