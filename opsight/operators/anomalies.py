@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
-from opsight.functions.scalar import as_int, case_ladder, clamp, is_true, safe_ratio
-from opsight.operators.ordered import over_frames
+from opsight.functions.scalar import case_ladder, clamp, finite_or_null, is_true, safe_ratio
+from opsight.operators.ordered import over_chunks, over_frames
 from opsight.operators.quantiles import exact_quantiles
-from opsight.operators.windows import guarded, rolling, rolling_zscore, trailing
+from opsight.operators.windows import guarded, rolling, rolling_zscore, sliding_quantiles, trailing
 
 
 def detect_band(
@@ -75,21 +75,24 @@ def dynamic_thresholds(
     """
 
     def exprs(w: WindowSpec) -> dict[str, Column]:
-        s, l = trailing(w, short), trailing(w, long)
-        lat, err, req = F.col(latency), F.col(errors), F.col(traffic)
-
-        def q(c: Column, level: float) -> Column:
-            return guarded(F.percentile(c, F.lit(level)), c, l, long)
+        s, lat = trailing(w, short), F.col(latency)
 
         return {
             "latency_mean_short": guarded(F.avg(lat), lat, s, short),
             "latency_std_short": guarded(F.stddev_samp(lat), lat, s, short),
-            "latency_p95_long": q(lat, 0.95),
-            "traffic_p05_long": q(req, 0.05),
-            "error_rate_p95_long": q(err, 0.95),
         }
 
-    out = over_frames(df, keys, order, exprs, before=long - 1, **frames)
+    quantiles = {
+        "latency_p95_long": (latency, 0.95),
+        "traffic_p05_long": (traffic, 0.05),
+        "error_rate_p95_long": (errors, 0.95),
+    }
+    schema = ", ".join(f"{name} double" for name in quantiles)
+    out = over_chunks(
+        df, keys, order, sliding_quantiles(quantiles, long, long), schema, before=long - 1, exprs=exprs, **frames
+    )
+    # A float column comes back from pandas with NaN where there is no value.
+    out = out.withColumns({name: finite_or_null(name) for name in quantiles})
     out = out.withColumn("latency_upper_std", F.col("latency_mean_short") + 3 * F.col("latency_std_short"))
     flags = {
         "latency_anomaly_std": F.col(latency) > F.col("latency_upper_std"),

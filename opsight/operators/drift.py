@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsight.functions.scalar import case_ladder, col
-from opsight.operators.quantiles import cumulate, distinct_counts, exact_quantiles
+from opsight.operators.quantiles import cumulate, distinct_counts, quantiles_of_counts
+from opsight.session import materialise
 
 PSI_WARNING, PSI_CRITICAL, MAE_FACTOR, EPSILON = 0.10, 0.25, 1.5, 0.0001
 
@@ -25,33 +26,56 @@ def psi_level(psi: Column | str) -> Column:
     return case_ladder([(p.isNull(), "unknown"), (p >= PSI_CRITICAL, "critical"), (p >= PSI_WARNING, "warning")], "ok")
 
 
+def feature_counts(base: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct values of each feature with their counts on both sides, written once.
+
+    Means, bin edges, bin counts and distribution distances all come from this table, so the
+    two inputs are read and shuffled a single time.
+    """
+    sides = long_features(base, columns).withColumn("side", F.lit("b")).unionByName(
+        long_features(cur, columns).withColumn("side", F.lit("c"))
+    )
+    return materialise(
+        distinct_counts(
+            sides, ["feature"], "value",
+            {"nb": F.count_if(F.col("side") == "b"), "nc": F.count_if(F.col("side") == "c")},
+        ).drop("_n")
+    )
+
+
 def psi(base: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Population stability index per feature on baseline quantile bins.
 
     The last bin is closed. Current values outside the baseline range fall in no bin but stay
     in the denominator. Fewer than three distinct edges give 0, an empty side gives NULL.
     """
-    b, c = long_features(base, columns), long_features(cur, columns)
-    edges = exact_quantiles(b, ["feature"], "value", [i / bins for i in range(bins + 1)]).select(
+    return psi_of_counts(feature_counts(base, cur, columns), bins)
+
+
+def psi_of_counts(counts: DataFrame, bins: int = 10) -> DataFrame:
+    baseline = counts.filter(F.col("nb") > 0).select("feature", F.col("value").alias("_x"), F.col("nb").alias("_n"))
+    edges = quantiles_of_counts(baseline, ["feature"], [i / bins for i in range(bins + 1)]).select(
         "feature", F.array_sort(F.array_distinct("quantiles")).alias("edges")
     )
-    sides = b.withColumn("side", F.lit("b")).unionByName(c.withColumn("side", F.lit("c")))
     # One edge row per feature, at most as many as there are columns.
-    placed = sides.join(F.broadcast(edges), "feature")
+    placed = counts.join(F.broadcast(edges), "feature")
     v, last = F.col("value"), F.element_at("edges", -1)
     below = F.size(F.filter("edges", lambda e: e <= v)) - 1
     bin_no = F.when(v == last, F.size("edges") - 2).when((below >= 0) & (v < last), below)
-    counts = placed.withColumn("bin", bin_no).groupBy("feature", "bin").agg(
-        F.count_if(F.col("side") == "b").alias("nb"), F.count_if(F.col("side") == "c").alias("nc")
+    binned = placed.withColumn("bin", bin_no).groupBy("feature", "bin").agg(
+        F.sum("nb").alias("nb"), F.sum("nc").alias("nc")
     )
     totals = counts.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
-    grid = edges.join(totals, "feature").withColumn(
-        "bin", F.explode(F.when(F.size("edges") >= 2, F.sequence(F.lit(0), F.size("edges") - 2)).otherwise(F.array(F.lit(0))))
+    grid = totals.join(edges, "feature", "left").withColumn(
+        "bin",
+        F.explode(
+            F.when(F.size("edges") >= 2, F.sequence(F.lit(0), F.size("edges") - 2)).otherwise(F.array(F.lit(0)))
+        ),
     )
     share = lambda n, t: F.when(
         F.coalesce(F.col(n), F.lit(0)) == 0, F.lit(EPSILON)
-    ).otherwise(F.col(n) / F.col(t))
-    terms = grid.join(counts, ["feature", "bin"], "left").withColumns({"pb": share("nb", "tb"), "pc": share("nc", "tc")})
+    ).otherwise(F.try_divide(n, t))
+    terms = grid.join(binned, ["feature", "bin"], "left").withColumns({"pb": share("nb", "tb"), "pc": share("nc", "tc")})
     summed = F.sum((F.col("pc") - F.col("pb")) * F.log(F.col("pc") / F.col("pb")))
     return terms.groupBy("feature").agg(
         F.when((F.max("tb") == 0) | (F.max("tc") == 0), F.lit(None).cast("double"))
@@ -63,13 +87,10 @@ def psi(base: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10)
 
 def ks_2samp(base: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per feature with its asymptotic p-value."""
-    sides = long_features(base, columns).withColumn("side", F.lit("b")).unionByName(
-        long_features(cur, columns).withColumn("side", F.lit("c"))
-    )
-    counts = distinct_counts(
-        sides, ["feature"], "value",
-        {"nb": F.count_if(F.col("side") == "b"), "nc": F.count_if(F.col("side") == "c")},
-    )
+    return ks_of_counts(feature_counts(base, cur, columns))
+
+
+def ks_of_counts(counts: DataFrame) -> DataFrame:
     ranked = cumulate(counts, ["feature"], "value", ["nb", "nc"])
     totals = counts.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
     gap = F.abs(F.try_divide("cum_nb", "tb") - F.try_divide("cum_nc", "tc"))
@@ -90,15 +111,10 @@ def ks_2samp(base: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFra
 
 def drift_report(base: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Means, PSI and KS of each feature."""
-    def means(df: DataFrame, out: str) -> DataFrame:
-        return long_features(df, columns).groupBy("feature").agg(F.avg("value").alias(out))
-
-    joined = (
-        means(base, "baseline_mean")
-        .join(means(cur, "current_mean"), "feature")
-        .join(psi(base, cur, columns), "feature")
-        .join(ks_2samp(base, cur, columns), "feature")
-    )
+    counts = feature_counts(base, cur, columns)
+    mean = lambda n: F.try_divide(F.sum(F.col("value") * F.col(n)), F.sum(n))
+    means = counts.groupBy("feature").agg(mean("nb").alias("baseline_mean"), mean("nc").alias("current_mean"))
+    joined = means.join(psi_of_counts(counts), "feature").join(ks_of_counts(counts), "feature")
     return joined.withColumn("mean_diff", F.col("current_mean") - F.col("baseline_mean")).withColumn(
         "psi_level", psi_level("psi")
     )

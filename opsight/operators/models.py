@@ -1,4 +1,8 @@
-"""Supervised models and clustering on Spark ML pipelines."""
+"""Supervised models and clustering on Spark ML pipelines.
+
+Fitting reads its input once per stage and iteration, so each training function first writes
+the rows it was given (see :func:`opsight.session.materialise`).
+"""
 
 from __future__ import annotations
 
@@ -32,6 +36,7 @@ from opsight.operators.metrics import regression_metrics
 from opsight.operators.ordered import positions
 from opsight.operators.quality import class_weights
 from opsight.operators.windows import tail_per_key
+from opsight.session import materialise
 
 
 @dataclass(frozen=True)
@@ -129,12 +134,14 @@ def train_classifier(
     forest = RandomForestClassifier(
         labelCol=spec.label, featuresCol="features", weightCol="class_weight", numTrees=trees, maxDepth=depth, seed=seed
     )
+    df = materialise(df)
     known = df.na.fill(fill_modes(df, spec.categorical)) if spec.categorical else df
     return Pipeline(stages=[*feature_stages(spec, scale=False), forest]).fit(weighted(known, spec.label))
 
 
 def train_logistic(df: DataFrame, spec: Features, iterations: int = 30) -> PipelineModel:
     """Logistic regression with balanced class weights."""
+    df = materialise(df)
     model = LogisticRegression(labelCol=spec.label, weightCol="class_weight", maxIter=iterations)
     return Pipeline(stages=[*feature_stages(spec), model]).fit(weighted(df, spec.label))
 
@@ -147,6 +154,7 @@ def score_risk(model: Model, df: DataFrame, out: str = "failure_probability") ->
 
 def train_text_classifier(df: DataFrame, spec: Features, iterations: int = 100) -> PipelineModel:
     """Text, category and number features into a multiclass logistic model over string labels."""
+    df = materialise(df)
     labels = StringIndexer(inputCol=spec.label, outputCol="label__ix").fit(df)
     model = LogisticRegression(labelCol="label__ix", weightCol="class_weight", maxIter=iterations)
     names = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels.labels)
@@ -165,6 +173,7 @@ def classify_text(model: Model, df: DataFrame, routing: dict[str, str] | None =
 
 def cluster_sweep(df: DataFrame, spec: Features, ks: Sequence[int] = range(2, 8), seed: int = 42) -> DataFrame:
     """Silhouette for each number of clusters; features are computed once."""
+    df = materialise(df)
     features = Pipeline(stages=feature_stages(spec)).fit(df).transform(df).select("features").persist()
     try:
         judge = ClusteringEvaluator(featuresCol="features", metricName="silhouette")
@@ -179,7 +188,7 @@ def cluster_sweep(df: DataFrame, spec: Features, ks: Sequence[int] = range(2, 8)
 
 def train_clusters(df: DataFrame, spec: Features, k: int = 5, seed: int = 42) -> PipelineModel:
     means = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id")
-    return Pipeline(stages=[*feature_stages(spec), means]).fit(df)
+    return Pipeline(stages=[*feature_stages(spec), means]).fit(materialise(df))
 
 
 def assign_clusters(model: Model, df: DataFrame) -> DataFrame:
@@ -188,6 +197,7 @@ def assign_clusters(model: Model, df: DataFrame) -> DataFrame:
 
 def reduce_2d(df: DataFrame, spec: Features) -> DataFrame:
     """Two principal components for inspection. Components are centred, unlike a plain SVD."""
+    df = materialise(df)
     pca = PCA(k=2, inputCol="features", outputCol="pc")
     out = Pipeline(stages=[*feature_stages(spec), pca]).fit(df).transform(df)
     xy = vector_to_array("pc")
@@ -208,7 +218,7 @@ def regressor(kind: str, label: str, trees: int = 300, depth: int | None = 6, le
 
 def train_regressor(df: DataFrame, spec: Features, kind: str = "random_forest", **params) -> PipelineModel:
     stages = feature_stages(spec, scale=kind == "linear_regression")
-    return Pipeline(stages=[*stages, regressor(kind, spec.label, **params)]).fit(df)
+    return Pipeline(stages=[*stages, regressor(kind, spec.label, **params)]).fit(materialise(df))
 
 
 # Latency bands of a prediction and their actions.
@@ -243,12 +253,18 @@ EXPERIMENTS = (
 
 
 def experiment_grid(train: DataFrame, test: DataFrame, spec: Features, runs: Sequence[dict] = EXPERIMENTS) -> DataFrame:
-    """Error metrics of each variant on the test rows, one row per run."""
+    """Error metrics of each variant on the test rows, one row per run.
+
+    The variants share one fitted feature stage. Trees ignore scaling, so it serves them too.
+    """
     results = None
+    train, test = materialise(train), materialise(test)
+    features = Pipeline(stages=feature_stages(spec)).fit(train)
+    ready, held = (features.transform(d).select("features", spec.label).persist() for d in (train, test))
     for run in runs:
         params = {k: v for k, v in run.items() if k not in ("run_name", "kind")} if run["kind"] == "random_forest" else {}
-        model = train_regressor(train, spec, run["kind"], **params)
-        scores = regression_metrics(model.transform(test), spec.label, "prediction").select(
+        model = regressor(run["kind"], spec.label, **params).fit(ready)
+        scores = regression_metrics(model.transform(held), spec.label, "prediction").select(
             F.lit(run["run_name"]).alias("run_name"), F.lit(run["kind"]).alias("model_type"), "n", "mae", "rmse", "r2"
         )
         results = scores if results is None else results.unionByName(scores)

@@ -20,7 +20,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 BUCKET, POS, CHUNK, HALO = "_bucket", "_pos", "_chunk", "_halo"
 
@@ -103,6 +104,58 @@ def over_frames(
     stay within that reach; ``then`` holds further rounds that read earlier columns of the
     same row. Chunks have equal size, so a hot series is as parallel as the data is long.
     """
+    spread = _chunked(df, keys, order, before, after, bucket, chunk, index)
+    window = Window.partitionBy(*keys, CHUNK).orderBy(POS)
+    out = spread.withColumns(exprs(window))
+    for more in then:
+        out = out.withColumns(more(window))
+    return out.filter(~F.col(HALO)).drop(CHUNK, HALO, POS)
+
+
+def over_chunks(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    compute: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    before: int,
+    exprs: Callable[[WindowSpec], dict[str, Column]] | None = None,
+    bucket: str = "1 hour",
+    chunk: int = 20_000,
+    index: DataFrame | None = None,
+) -> DataFrame:
+    """Trailing frames computed by pandas, one bounded chunk of a series at a time.
+
+    For statistics whose native form recomputes every frame from scratch. ``compute`` gets a
+    chunk in order, at most ``chunk + before`` rows, and returns the columns of ``schema``.
+    ``exprs`` adds native frame columns from the same shuffle.
+    """
+    spread = _chunked(df, keys, order, before, 0, bucket, chunk, index)
+    if exprs:
+        spread = spread.withColumns(exprs(Window.partitionBy(*keys, CHUNK).orderBy(POS)))
+    added = T._parse_datatype_string(schema)
+    names = spread.columns
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(POS, ignore_index=True)
+        new = compute(pdf)
+        return pd.concat([pdf[names], new], axis=1)[~pdf[HALO]]
+
+    full = T.StructType([*spread.schema.fields, *added.fields])
+    return spread.groupBy(*keys, CHUNK).applyInPandas(run, full).drop(CHUNK, HALO, POS)
+
+
+def _chunked(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    before: int,
+    after: int,
+    bucket: str,
+    chunk: int,
+    index: DataFrame | None,
+) -> DataFrame:
+    """Rows with their chunk, plus the copies neighbouring chunks need."""
     if before >= chunk or after >= chunk:
         raise ValueError("a frame must be smaller than a chunk")
     placed = positions(df, keys, order, bucket, index)
@@ -117,16 +170,11 @@ def over_frames(
         copies.append(
             F.when((inside < after) & (home > 0), F.struct((home - 1).alias("c"), F.lit(True).alias("h")))
         )
-    spread = (
+    return (
         placed.withColumn("_to", F.explode(F.array_compact(F.array(*copies))))
         .withColumns({CHUNK: F.col("_to.c"), HALO: F.col("_to.h")})
         .drop("_to")
     )
-    window = Window.partitionBy(*keys, CHUNK).orderBy(POS)
-    out = spread.withColumns(exprs(window))
-    for more in then:
-        out = out.withColumns(more(window))
-    return out.filter(~F.col(HALO)).drop(CHUNK, HALO, POS)
 
 
 def carry_last(

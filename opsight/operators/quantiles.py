@@ -11,7 +11,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SPLITS = 64
+SPLITS = 256
+
+
+def count_below(sorted_array: Column, v: Column, size: int) -> Column:
+    """How many elements of an ascending array are smaller than ``v``: a binary search."""
+    steps = []
+    step = 1
+    while step <= size:
+        steps.insert(0, step)
+        step *= 2
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, s: F.when(F.coalesce(F.get(sorted_array, at + s - 1) < v, F.lit(False)), at + s).otherwise(at),
+    )
 
 
 def value_ranges(df: DataFrame, keys: Sequence[str], value: str, out: str, splits: int = SPLITS) -> DataFrame:
@@ -26,8 +40,7 @@ def value_ranges(df: DataFrame, keys: Sequence[str], value: str, out: str, split
         joined = df.join(table, list(keys))
     else:
         joined = df.withColumn("_splits", df.agg(F.percentile_approx(v, grid, F.lit(10_000)).alias("s")).scalar())
-    below = F.size(F.filter("_splits", lambda s: s < v))
-    return joined.withColumn(out, below).drop("_splits")
+    return joined.withColumn(out, count_below(F.col("_splits"), v, splits)).drop("_splits")
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], value: str, extra: dict[str, Column] | None = None) -> DataFrame:
@@ -60,7 +73,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
     known = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x")
     )
-    counts = distinct_counts(known, keys, "_x")
+    return quantiles_of_counts(distinct_counts(known, keys, "_x"), keys, qs)
+
+
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> DataFrame:
+    """The same from a table of distinct values ``_x`` and their counts ``_n``."""
     ranked = cumulate(counts, keys, "_x", ["_n"])
     # Ranks are 0-based; the value v covers ranks (cum - n) .. (cum - 1).
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total")) if keys else None

@@ -82,7 +82,7 @@ def nested_audit(t):
     service = F.when(e % 5 == 0, "iam.googleapis.com").when(e % 5 == 1, "aiplatform.googleapis.com").when(
         e % 5 == 2, "storage.googleapis.com").otherwise("custom.example.com")
     principal = F.when(e % 6 == 0, "bot@p.iam.gserviceaccount.com").when(e % 6 == 1, F.lit(None)).otherwise(F.col("principal"))
-    return t.access.select(
+    return t.spread().access.select(
         "event_id", "event_ts",
         F.struct(
             F.struct(principal.alias("principalEmail")).alias("authenticationInfo"),
@@ -202,7 +202,7 @@ def rightsizing_plan(t):
 
 
 def change_docs(t):
-    c = t.change_requests
+    c = t.spread().change_requests
     some = lambda cond, *v: F.when(cond, F.array(*[F.lit(x) for x in v])).otherwise(F.array().cast("array<string>"))
     before = F.create_map(F.lit("model_version"), "old_version", F.lit("threshold"), "old_threshold", F.lit("action"),
                           F.lit("alert_only"), F.lit("service_account_role"), F.lit("viewer"))

@@ -16,7 +16,7 @@ TREES = 30
 def labelled(t):
     """Metrics with a failure label that follows load and latency."""
     risk = F.col("latency_ms") / 60 + F.col("cpu") / 100 + F.col("error_rate") * 8
-    return t.metrics.select("tiebreak", "ts", "service", "environment", "region", "latency_ms", "error_rate", "request_count",
+    return t.spread().metrics.select("tiebreak", "ts", "service", "environment", "region", "latency_ms", "error_rate", "request_count",
                             "cpu", "memory", (risk > 2.2).cast("int").alias("failure"))
 
 
@@ -59,7 +59,7 @@ def stratified_split(t):
 
 @query("isolation_forest")
 def isolation_forest(t):
-    m = t.metrics.select("tiebreak", "latency_ms", "error_rate", "request_count", "cpu", "memory")
+    m = t.spread().metrics.select("tiebreak", "latency_ms", "error_rate", "request_count", "cpu", "memory")
     return detect(m, ["latency_ms", "error_rate", "request_count", "cpu", "memory"], "tiebreak", trees=200).select(
         "tiebreak", "anomaly_score", "is_anomaly")
 
@@ -69,7 +69,7 @@ ROUTING = {"en": "team-en", "de": "team-de", "fr": "team-fr", "es": "team-es"}
 
 
 def documents(t):
-    return t.documents.select("doc_id", "text", "source", F.col("n_chars").cast("double").alias("n_chars"), "lang")
+    return t.spread().documents.select("doc_id", "text", "source", F.col("n_chars").cast("double").alias("n_chars"), "lang")
 
 
 @query("train_text_classifier")

@@ -34,6 +34,7 @@ ALL_TEXTS = "texts AS (SELECT log_no, kind, message AS t FROM logs UNION ALL SEL
 
 
 def all_texts(t):
+    t = t.spread()
     a = t.logs.select("log_no", "kind", F.col("message").alias("t"))
     return a.unionByName(t.app_logs.select("log_no", F.lit("a").alias("kind"), F.col("message").alias("t")))
 
@@ -103,7 +104,7 @@ x AS (SELECT message_pattern, array_to_string(list(message ORDER BY rn), '|') AS
 @query("pattern_rollup", f"""
 WITH {rollup_sql('logs').strip()} SELECT a.*, x.examples FROM a JOIN x USING (message_pattern)""")
 def pattern_rollup(t):
-    df = G.pattern_rollup(t.logs, "message", "ts", "severity", "log_no")
+    df = G.pattern_rollup(t.spread().logs, "message", "ts", "severity", "log_no")
     return df.withColumn("examples", F.array_join("examples", "|"))
 
 
@@ -112,7 +113,7 @@ WITH sv AS (SELECT log_no, ts, severity, {replace_sql('message', X.REDACTIONS)}
    WHERE severity IN ('ERROR', 'CRITICAL', 'ALERT')), {rollup_sql('sv').strip()}
 SELECT a.*, x.examples FROM a JOIN x USING (message_pattern) ORDER BY count DESC, message_pattern LIMIT 20""")
 def log_patterns(t):
-    df = G.log_patterns(t.app_logs, "message", "ts", "severity", "log_no")
+    df = G.log_patterns(t.spread().app_logs, "message", "ts", "severity", "log_no")
     return df.withColumn("examples", F.array_join("examples", "|"))
 
 
@@ -152,7 +153,7 @@ WITH RECURSIVE src AS (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10))
 {chunk_sql('src', 'doc_id', 'content').strip()}
 SELECT k AS doc_id, CAST(chunk_index AS INTEGER) AS chunk_index, chunk AS content FROM ck""")
 def chunk_documents(t):
-    docs = t.documents.select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("content"))
+    docs = t.spread().documents.select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("content"))
     return V.chunk_documents(docs)
 
 
@@ -164,7 +165,7 @@ SELECT k AS doc_id, CAST(chunk_index AS INTEGER) AS chunk_index,
   '[' || array_to_string(list_transform(list_sort(list_filter({VOCABULARY}, lambda w: contains(lower(chunk), w))),
     lambda w: '"' || w || '"'), ',') || ']' AS tags_json, 'internal' AS sensitivity FROM ck""")
 def build_chunk_table(t):
-    docs = t.documents.select("doc_id", F.lit("").alias("title"), F.col("text").alias("content"))
+    docs = t.spread().documents.select("doc_id", F.lit("").alias("title"), F.col("text").alias("content"))
     return V.build_chunk_table(docs, VOCABULARY).select("doc_id", "chunk_index", "chunk_id", "tags_json", "sensitivity")
 
 

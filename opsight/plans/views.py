@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opsight.sources.files import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -277,11 +279,16 @@ VIEWS: dict[str, str] = {
 class Tables:
     """The driver tables of one folder and the adapter views over them."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, str(sf_dir).rstrip("/")
+    def __init__(self, spark: SparkSession, sf_dir: str, spread_scans: bool = False):
+        self.spark, self.sf_dir, self.spread_scans = spark, str(sf_dir).rstrip("/"), spread_scans
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        scan = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(scan) if self.spread_scans else scan
+
+    def spread(self) -> Tables:
+        """The same tables for work that is heavy per row."""
+        return Tables(self.spark, self.sf_dir, spread_scans=True)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

@@ -26,6 +26,16 @@ def read_events_csv(
     return spark.read.schema(ordered).option("header", header).option("enforceSchema", False).csv(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """More partitions for a scan with fewer splits than the cluster has cores.
+
+    Work that is heavy per row (text, models) starves on a small file. A large scan already
+    has more splits than cores and is returned as it is, so no shuffle is added at scale.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
