@@ -54,6 +54,15 @@ TEMPLATES = (
 )
 TEMPLATE_CHARS = 500
 
+# Literals without which a pattern cannot match; most texts lack them and skip the regex.
+NEEDLES = {
+    PATTERNS["jwt"]: "eyJ",
+    EMAIL_PARTS: "@",
+    REDACTIONS[3][0]: "@",
+    TEMPLATES[4][0]: "latency_ms=",
+    TEMPLATES[5][0]: "status=",
+}
+
 
 def unicode_aware(pattern: str) -> str:
     """Word, digit, space and boundary classes over all of Unicode."""
@@ -62,10 +71,27 @@ def unicode_aware(pattern: str) -> str:
 
 def _replace_all(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
     for pattern, replacement in rules:
-        c = F.regexp_replace(c, unicode_aware(pattern), replacement)
+        c = _replace(c, pattern, replacement)
     return c
 
 
+def _replace(c: Column, pattern: str, replacement: str) -> Column:
+    """Replace, looking first for a literal the pattern cannot match without.
+
+    The one-element transform binds the text to a name, so that testing and replacing do not
+    repeat the expression below them.
+    """
+    regex = unicode_aware(pattern)
+    needle = NEEDLES.get(pattern)
+    if needle is None:
+        return F.regexp_replace(c, regex, replacement)
+    bound = F.transform(
+        F.array(c),
+        lambda x: F.when(F.contains(x, F.lit(needle)), F.regexp_replace(x, regex, replacement)).otherwise(x),
+    )
+    return F.get(bound, F.lit(0))
+
+
 def text_of(c: Column | str) -> Column:
     return F.coalesce(col(c), F.lit(""))
 
@@ -155,12 +181,15 @@ def chunk_text(c: Column | str, max_chars: int = 1200, overlap: int = 200) -> Co
             F.when(fits, joined).when(long, F.lit("")).otherwise(p).alias("open"),
         )
 
-    chunks = F.aggregate(paragraphs, start, add, closed)
-    if overlap <= 0:
-        return chunks
-    return F.transform(
-        chunks,
-        lambda chunk, i: F.when(i == 0, chunk).otherwise(
-            F.concat(F.right(F.get(chunks, i - 1), F.lit(overlap)), F.lit("\n\n"), chunk)
-        ),
-    )
+    def finish(state: Column) -> Column:
+        if overlap <= 0:
+            return closed(state)
+        # Inside the fold's last step the state is a bound variable: nothing is folded twice.
+        return F.transform(
+            closed(state),
+            lambda chunk, i: F.when(i == 0, chunk).otherwise(
+                F.concat(F.right(F.get(closed(state), i - 1), F.lit(overlap)), F.lit("\n\n"), chunk)
+            ),
+        )
+
+    return F.aggregate(paragraphs, start, add, finish)

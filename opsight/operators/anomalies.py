@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from opsight.functions.scalar import case_ladder, clamp, finite_or_null, is_true, safe_ratio
 from opsight.operators.ordered import over_chunks, over_frames
+from opsight.operators.drift import long_features
 from opsight.operators.quantiles import exact_quantiles
 from opsight.operators.windows import guarded, rolling, rolling_zscore, sliding_quantiles, trailing
 
@@ -188,9 +189,13 @@ def explain_anomalies(
     ``columns`` maps the roles latency, errors, traffic, cpu and memory to column names. The
     quantiles come back as scalar subqueries, so the rows are read without any shuffle.
     """
+    levels = sorted({q for _, _, q, _ in REASONS})
+    table = exact_quantiles(long_features(df, list(columns.values())), ["feature"], "value", levels)
+    # One row per role: a map of at most five entries.
+    limits = table.agg(F.map_from_entries(F.collect_list(F.struct("feature", "quantiles"))).alias("m")).scalar()
     reasons = []
     for code, role, q, side in REASONS:
-        limit = exact_quantiles(df, [], columns[role], [q]).select(F.col("quantiles")[0].alias("q")).scalar()
+        limit = F.try_element_at(limits, F.lit(columns[role]))[levels.index(q)]
         c = F.col(columns[role])
         hit = c >= limit if side == "high" else c <= limit
         reasons.append(F.when(is_true(hit), F.lit(code)))

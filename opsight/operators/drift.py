@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsight.functions.scalar import case_ladder, col
 from opsight.operators.quantiles import cumulate, distinct_counts, quantiles_of_counts
@@ -58,28 +58,24 @@ def psi_of_counts(counts: DataFrame, bins: int = 10) -> DataFrame:
         "feature", F.array_sort(F.array_distinct("quantiles")).alias("edges")
     )
     # One edge row per feature, at most as many as there are columns.
-    placed = counts.join(F.broadcast(edges), "feature")
+    placed = counts.join(F.broadcast(edges), "feature", "left")
     v, last = F.col("value"), F.element_at("edges", -1)
     below = F.size(F.filter("edges", lambda e: e <= v)) - 1
     bin_no = F.when(v == last, F.size("edges") - 2).when((below >= 0) & (v < last), below)
     binned = placed.withColumn("bin", bin_no).groupBy("feature", "bin").agg(
-        F.sum("nb").alias("nb"), F.sum("nc").alias("nc")
+        F.sum("nb").alias("nb"), F.sum("nc").alias("nc"), F.max(F.size("edges")).alias("n_edges")
     )
-    totals = counts.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
-    grid = totals.join(edges, "feature", "left").withColumn(
-        "bin",
-        F.explode(
-            F.when(F.size("edges") >= 2, F.sequence(F.lit(0), F.size("edges") - 2)).otherwise(F.array(F.lit(0)))
-        ),
+    # At most one row per bin and feature from here on; the row without a bin holds the
+    # values outside the baseline range. A bin empty on both sides would add nothing.
+    whole = Window.partitionBy("feature")
+    share = lambda n: F.when(F.col(n) == 0, F.lit(EPSILON)).otherwise(
+        F.try_divide(F.col(n), F.sum(n).over(whole))
     )
-    share = lambda n, t: F.when(
-        F.coalesce(F.col(n), F.lit(0)) == 0, F.lit(EPSILON)
-    ).otherwise(F.try_divide(n, t))
-    terms = grid.join(binned, ["feature", "bin"], "left").withColumns({"pb": share("nb", "tb"), "pc": share("nc", "tc")})
-    summed = F.sum((F.col("pc") - F.col("pb")) * F.log(F.col("pc") / F.col("pb")))
+    terms = binned.withColumns({"pb": share("nb"), "pc": share("nc")})
+    summed = F.sum(F.when(F.col("bin").isNotNull(), (F.col("pc") - F.col("pb")) * F.log(F.col("pc") / F.col("pb"))))
     return terms.groupBy("feature").agg(
-        F.when((F.max("tb") == 0) | (F.max("tc") == 0), F.lit(None).cast("double"))
-        .when(F.max(F.size("edges")) < 3, F.lit(0.0))
+        F.when((F.sum("nb") == 0) | (F.sum("nc") == 0), F.lit(None).cast("double"))
+        .when(F.max("n_edges") < 3, F.lit(0.0))
         .otherwise(summed)
         .alias("psi")
     )

@@ -568,7 +568,7 @@ SPLIT_AT = "1998-06-01 00:00:00"
 
 
 def drift_sides(t):
-    line = t.lineitem.withColumn("yhat", F.col("l_quantity") * 1500 + F.col("l_tax") * 1000)
+    line = t.spread().lineitem.withColumn("yhat", F.col("l_quantity") * 1500 + F.col("l_tax") * 1000)
     at = F.lit(SPLIT_AT).cast("timestamp_ntz")
     return line.filter(F.col("l_shipdate") < at), line.filter(F.col("l_shipdate") >= at)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,10 +47,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage of a stage that several branches read.
+    """Cut lineage of a stage that several branches or iterations read.
 
-    Reliable checkpoint: the files live in the shared folder, so a lost executor
-    costs nothing and no branch recomputes the stage.
+    The stage is written as a table in the shared checkpoint folder, so a lost executor costs
+    nothing, no branch recomputes it, and readers fetch only the columns they use.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
