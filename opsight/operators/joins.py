@@ -36,13 +36,15 @@ def asof_join(
     take: Sequence[str],
     left_tie: str,
     right_tie: str,
-    bucket: str = "1 day",
+    bucket: str = "1 hour",
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Latest right row at or before each left row, by key (backward, inclusive).
 
     Both sides go into one ordered stream in which a right row sorts before a left row of the
     same instant, and the last right row seen is carried forward. The stream is split by
-    time, so the only unsplit work is one summary row per key and bucket.
+    time, so the only unsplit work is one summary row per key and bucket. ``index`` may name
+    a shorter relation with the keys and times of ``left``, such as the scan it derives from.
     """
     payload = F.struct(F.col(right_ts).alias(right_ts), *[F.col(c) for c in take])
     r = right.select(
@@ -60,7 +62,13 @@ def asof_join(
         F.struct(*[F.col(c) for c in left.columns if c not in by]).alias("_row"),
     )
     stream = l.unionByName(r, allowMissingColumns=True)
-    joined = carry_last(stream, by, ["_t", "_side", "_tie"], F.col("_hit"), "_match", bucket)
+    short = None
+    if index is not None:
+        times = index.select(
+            *by, F.col(left_ts).cast("timestamp").alias("_t"), F.lit(1).alias("_side"), F.lit(0).cast("bigint").alias("_tie")
+        )
+        short = times.unionByName(r, allowMissingColumns=True)
+    joined = carry_last(stream, by, ["_t", "_side", "_tie"], F.col("_hit"), "_match", bucket, short)
     return joined.filter(F.col("_side") == 1).select(
         *by, "_row.*", F.col(f"_match.{right_ts}").alias(right_ts), *[F.col(f"_match.{c}").alias(c) for c in take]
     )

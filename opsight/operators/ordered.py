@@ -39,6 +39,21 @@ def time_bucket(ts: str | Column, width: str) -> Column:
     return F.floor(micros / F.lit(seconds_of(width) * 1_000_000)).cast("bigint")
 
 
+def suggest_bucket(df: DataFrame, keys: Sequence[str], ts: str, rows: int = 1_000_000) -> str:
+    """Bucket width that gives the densest series about ``rows`` rows per bucket.
+
+    One aggregation over keys and times. The defaults suit up to some hundred rows a second
+    and series; ask here when a hot series is denser than that.
+    """
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    span = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max(micros) - F.min(micros)).alias("span"))
+    rate = span.agg(F.max(F.col("n") / F.greatest(F.col("span") / 1e6, F.lit(1.0))).alias("r")).collect()[0]["r"] or 0
+    for width in ("1 day", "1 hour", "10 minutes", "1 minute", "10 seconds"):
+        if rate * seconds_of(width) <= rows:
+            return width
+    return "1 second"
+
+
 def _before(keys: Sequence[str]) -> WindowSpec:
     """All earlier buckets of the same series, over the small per-bucket table."""
     return Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -184,11 +199,17 @@ def carry_last(
     value: Column,
     out: str,
     bucket: str = "1 hour",
+    index: DataFrame | None = None,
 ) -> DataFrame:
-    """Last non-null ``value`` at or before each row of its series."""
+    """Last non-null ``value`` at or before each row of its series.
+
+    ``index`` is any relation with the same keys, times and values as ``df``; the per-bucket
+    pass reads it instead, which spares a long derivation of ``df`` a second evaluation.
+    """
     base = df.withColumn(BUCKET, time_bucket(order[0], bucket)).withColumn("_v", value)
+    short = base if index is None else index.withColumn(BUCKET, time_bucket(order[0], bucket)).withColumn("_v", value)
     seen = F.when(F.col("_v").isNotNull(), F.struct(*[F.col(c) for c in order]))
-    per_bucket = base.groupBy(*keys, BUCKET).agg(F.max_by("_v", seen).alias("_last"))
+    per_bucket = short.groupBy(*keys, BUCKET).agg(F.max_by("_v", seen).alias("_last"))
     earlier = per_bucket.select(
         *keys, BUCKET, F.last("_last", ignorenulls=True).over(_before(keys)).alias("_earlier")
     )

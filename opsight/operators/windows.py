@@ -249,7 +249,7 @@ def temporal_split(
     tiebreak: str,
     ratios: Sequence[float] = (0.70, 0.85),
     names: Sequence[str] = ("training", "validation", "test"),
-    bucket: str = "1 hour",
+    bucket: str = "1 minute",
     out: str = "split",
 ) -> DataFrame:
     """Label rows by global time order at ``int(n * ratio)`` cut points.

@@ -49,7 +49,7 @@ def scored_metrics(t):
     m = t.metrics.select("user_id", "ts", "tiebreak", "service", "latency_ms", "error_rate_pct", "request_count")
     features = A.signal_features(m, KEYS, ORDER, minutes_since_change=None)
     joined = J.asof_join(features.select("user_id", "ts", "tiebreak", "service", "error_rate_pct", "signals_count"),
-                         t.changes, ["user_id"], "ts", "change_ts", ["change_id"], "tiebreak", "change_no")
+                         t.changes, ["user_id"], "ts", "change_ts", ["change_id"], "tiebreak", "change_no", bucket="1 day", index=m)
     recent = joined.withColumn("mins", minutes_between("ts", "change_ts")).withColumn(
         "recent_change", F.coalesce(F.col("mins").between(0, 60), F.lit(False))
     ).withColumnRenamed("change_id", "last_change_id")

@@ -35,7 +35,7 @@ FROM metrics m ASOF LEFT JOIN changes c ON m.user_id = c.user_id AND m.ts >= c.c
 def asof_join(t):
     left = t.metrics.select("user_id", "ts", "tiebreak")
     joined = J.asof_join(left, t.changes, ["user_id"], "ts", "change_ts",
-                         ["change_id", "change_type", "deployment_version"], "tiebreak", "change_no")
+                         ["change_id", "change_type", "deployment_version"], "tiebreak", "change_no", bucket="1 day")
     return joined.select(
         "tiebreak", "change_id", "change_type",
         F.coalesce("deployment_version", F.lit("v0")).alias("deployment_version"),

@@ -159,3 +159,20 @@ def test_runbook_lookup_equals_the_or_join(spark):
         want = [b[0] for b in table if b[1].lower() == s or c in b[2].lower()][:5]
         mine = [r["runbook_id"] for r in got.filter(F.col("request_id") == ask[0]).orderBy("runbook_rank").collect()]
         assert mine == want
+
+
+def test_bucket_width_follows_the_densest_series(spark):
+    from opsight.operators.ordered import suggest_bucket
+
+    rows = [("a", START + timedelta(seconds=i), i, 0.0) for i in range(600)] + [("b", START, 1000, 0.0)]
+    df = frame(spark, rows)
+    assert suggest_bucket(df, ["k"], "ts") == "1 day"
+    assert suggest_bucket(df, ["k"], "ts", rows=100) == "1 minute"
+
+
+def test_asof_with_a_short_index_is_the_same(spark):
+    left = frame(spark, series(200))
+    right = frame(spark, series(60, seed=9)).select("k", F.col("ts").alias("cts"), F.col("id").alias("no"))
+    args = (["k"], "ts", "cts", ["no"], "id", "no")
+    a, b = J.asof_join(left, right, *args), J.asof_join(left, right, *args, index=left.select("k", "ts"))
+    assert a.count() == 200 and a.exceptAll(b).count() == 0
