@@ -195,12 +195,12 @@ def explain_anomalies(
     limits = table.agg(F.map_from_entries(F.collect_list(F.struct("feature", "quantiles"))).alias("m")).scalar()
     reasons = []
     for code, role, q, side in REASONS:
-        limit = F.try_element_at(limits, F.lit(columns[role]))[levels.index(q)]
+        limit = F.try_element_at("_limits", F.lit(columns[role]))[levels.index(q)]
         c = F.col(columns[role])
         hit = c >= limit if side == "high" else c <= limit
         reasons.append(F.when(is_true(hit), F.lit(code)))
     listed = F.array_compact(F.array(*reasons))
-    out = df.withColumn("_reasons", F.when(F.col(flag), listed).otherwise(F.array().cast("array<string>")))
+    out = df.withColumn("_limits", limits).withColumn("_reasons", F.when(F.col(flag), listed).otherwise(F.array().cast("array<string>")))
 
     def has(code: str) -> Column:
         return F.array_contains("_reasons", code)
@@ -221,7 +221,7 @@ def explain_anomalies(
                 "correlate_with_events",
             ),
         }
-    ).drop("_reasons")
+    ).drop("_reasons", "_limits")
 
 
 def anomaly_summary(df: DataFrame, flag: str = "is_anomaly", dims: Sequence[str] = ("service", "severity")) -> DataFrame:

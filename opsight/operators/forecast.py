@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsight.operators.metrics import regression_metrics
 from opsight.operators.windows import date_split
+from opsight.session import materialise
 
 SEASON = {
     "day": lambda ts: F.weekday(ts),
@@ -23,7 +24,7 @@ MAD_TO_SIGMA = 1.4826
 
 def clean_spikes(df: DataFrame, key: str, y: str, width: float = 3.0) -> DataFrame:
     """Clip values further than ``width`` robust deviations from the series median."""
-    half = F.lit(0.5)
+    half, df = F.lit(0.5), materialise(df)
     medians = df.groupBy(key).agg(F.percentile(y, half).alias("_m"))
     centred = df.join(medians, key)
     spread = centred.groupBy(key).agg(F.percentile(F.abs(F.col(y) - F.col("_m")), half).alias("_mad"))
@@ -69,7 +70,12 @@ def forecast(
     step: str = "day",
     out_ts: str = "forecast_ts",
 ) -> DataFrame:
-    """``horizon`` steps ahead per series with an interval; costs never go below zero."""
+    """``horizon`` steps ahead per series with an interval; costs never go below zero.
+
+    The fit reads its series several times, so the roll-up is written once and the raw rows
+    behind it are read once.
+    """
+    df = materialise(df.select(key, ts, y))
     trend, profile = _fit(df, key, ts, y, step)
     ahead = trend.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).withColumn(
         out_ts, F.timestamp_seconds((F.col("_last_abs") + F.col("_i")) * STEP_SECONDS[step])
@@ -92,7 +98,7 @@ def forecast_eval(
     df: DataFrame, key: str, ts: str, y: str, holdout_days: int = 14, step: str = "day"
 ) -> DataFrame:
     """Errors of a forecast fitted without the last days, per series."""
-    parts = date_split(df, ts, holdout_days)
+    parts = date_split(materialise(df.select(key, ts, y)), ts, holdout_days)
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     per_day = 86400 // STEP_SECONDS[step]
     # Series end on different days; enough steps to cover the whole holdout for each of them.
@@ -128,6 +134,7 @@ def future_rows(
 
     Only the last ``history`` points of a series are gathered; shorter series are skipped.
     """
+    df = materialise(df.select(key, date, cost, share))
     span = df.agg(F.struct(F.max(date).alias("last"), F.min(date).alias("first")).alias("s")).scalar()
     w = Window.partitionBy(key).orderBy(F.col(date).desc())
     tail = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= history)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opsight.functions.scalar import case_ladder, safe_ratio
 from opsight.operators.quantiles import cumulate, distinct_counts
+from opsight.session import materialise
 
 
 @dataclass(frozen=True)
@@ -112,8 +113,10 @@ def ranking_metrics(df: DataFrame, y: str = "y", score: str = "score", by: Seque
 
     Both come from the same cumulative table of distinct scores.
     """
-    counts = distinct_counts(
-        df.select(*by, y, score), by, score, {"pos": F.count_if(F.col(y) == 1), "neg": F.count_if(F.col(y) == 0)}
+    counts = materialise(
+        distinct_counts(
+            df.select(*by, y, score), by, score, {"pos": F.count_if(F.col(y) == 1), "neg": F.count_if(F.col(y) == 0)}
+        )
     )
     ranked = cumulate(counts, by, score, ["pos", "neg"])
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_q"))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from opsight.session import materialise
+
 SPLITS = 256
 
 
@@ -73,7 +75,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
     known = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x")
     )
-    return quantiles_of_counts(distinct_counts(known, keys, "_x"), keys, qs)
+    # Read three times below: split points, ranks and totals.
+    return quantiles_of_counts(materialise(distinct_counts(known, keys, "_x")), keys, qs)
 
 
 def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from opsight.functions.scalar import bin_label
 from opsight.operators import cost as C, drift as R, forecast as P, joins as J, kpi as K, metrics as M, quality as Q, slo as L
 from opsight.plans.registry import query
+from opsight.session import materialise
 
 
 def rounded(df, *columns, digits=6):
@@ -318,9 +319,10 @@ SELECT l AS last_actual_day, round(c, 2) AS actual_month_cost, CAST(rem AS INTEG
   round(c + ur, 2) AS projected_month_end_upper, CAST({BUDGET} AS DOUBLE) AS monthly_budget,
   CASE WHEN c + ur >= {BUDGET} * 1.1 THEN 'HIGH' WHEN c + fr >= {BUDGET} THEN 'MEDIUM' ELSE 'LOW' END AS risk FROM p""")
 def month_projection(t):
-    f = P.forecast(t.daily_cost, "service", "usage_date", "net_cost", 14, 0.90)
+    daily = materialise(t.daily_cost)
+    f = P.forecast(daily, "service", "usage_date", "net_cost", 14, 0.90)
     f = f.withColumn("forecast_date", F.to_date("forecast_ts"))
-    df = C.month_projection(t.daily_cost, f, BUDGET, forecast_cost="forecast_value", upper_cost="upper_bound")
+    df = C.month_projection(daily, f, BUDGET, forecast_cost="forecast_value", upper_cost="upper_bound")
     return rounded(df, "actual_month_cost", "forecast_remaining", "projected_month_end", "projected_month_end_upper", digits=2)
 
 
