@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opsight.llm import language, quality, toxicity
+from opsight.llm import language, near, packing, quality, secrets, tokens, toxicity
 from opsight.llm.common import in_fold, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -23,6 +27,26 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, quality.train(docs, labels))
 
 
+def word_list(tokenizer: str | None = None, words: int = 40_000) -> list[str]:
+    """Whole words of a public vocabulary, the commonest first, for guess costs; a fixed list."""
+    vocabulary = json.loads(Path(tokenizer or public_tokenizers.path("word_bpe_49k.json")).read_text())["model"]["vocab"]
+    found = sorted((rank, w[:-4]) for w, rank in vocabulary.items() if w.endswith("</w>") and w[:-4].isalpha())
+    return [w for _, w in found if len(w) >= 3][:words]
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"), word_list())
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in secrets.KINDS),
+        F.sha2(secrets.joined(F.col("spans"), secrets.KINDS[:3]), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"))
+
+
+def op4_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classes(table(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents; learns from those outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -32,4 +56,24 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                              keep=("doc_id", "held_out"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op6_language)}
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-piece lengths of all documents with the pieces of a public vocabulary."""
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())
+              if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), pieces)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
+def tokenizer(path: str | None = None) -> str:
+    return Path(path or public_tokenizers.path("word_bpe_49k.json")).read_text()
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_secrets, op4_near, op6_language, op7_tokens, op9_packing)}
