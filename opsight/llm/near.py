@@ -6,12 +6,13 @@ A document's set holds its distinct 5-word shingles (A-Z lowered, words `[^\\x20
 2. Each node's sketch has M registers. A register is the least of exponential draws over the set's shingles, on the scale
    of powers of BASE and truncated; sketches of two sets merge by the maximum. Draws of a shingle come in rising order and
    end where no register can still change.
-3. BAND registers make a key; nodes that share a key share a bucket. At a similarity of 0.85 a pair shares none of the 32
-   keys with a chance of 6e-11. Each bucket pairs its least node with the others; pairs whose likelihood estimate from
-   both sketches and both set sizes lies below DROP are let go (beyond six standard errors), the rest are confirmed on
-   the words themselves, in groups of bounded size.
+3. Of the first BANDS * BAND registers, every BAND make a key; nodes that share a key share a bucket. At a similarity of
+   0.85 a pair shares none of the 32 keys with a chance of 6e-11. Each bucket pairs its least node with the others; pairs
+   whose likelihood estimate from both sketches and both set sizes lies below DROP are let go (4.7 standard errors below
+   the bound), the rest are confirmed on the words themselves, in groups of about TEXTS texts.
 4. Buckets whose members are not yet of one class are compared in full, block against block of about BLOCK sketches, but
-   never within the bucket's largest class. No task holds a bucket and no pair is written before its estimate.
+   never within the bucket's largest class, and a pair only in the first of the buckets it shares. No task holds a bucket
+   and no pair is written before its estimate.
 5. Classes are the connected components of the confirmed links: least labels with pointer jumping, written each round.
 
 Defined cases: a NULL, empty or blank text has an empty set, is linked with nothing and is its own class. Rows that repeat
@@ -32,10 +33,13 @@ from opsight.session import materialise
 
 SHINGLE = 5
 LINK_PERCENT = 85
-M, BAND = 128, 4
+M, BANDS, BAND = 256, 32, 4
 BASE, RATE, TOP = 1.02, 20.0, 4095
-DROP = 0.65
-BLOCK = 128
+DROP = 0.745
+BLOCK, TEXTS = 1024, 128
+#: Step 4 first counts equal low bytes of FEW registers (a link falls below FEW_EQUAL with a chance of 1e-7), and uses the
+#: buckets of the first RETRY bands (a link shares none of them with a chance of 8e-6).
+FEW, FEW_EQUAL, RETRY = 64, 38, 16
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -82,10 +86,10 @@ def registers(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """One 64-bit key for every BAND registers, different for each band."""
-    packed = np.zeros((len(regs), M // BAND), np.uint64)
+    packed = np.zeros((len(regs), BANDS), np.uint64)
     for i in range(BAND):
-        packed = (packed << np.uint64(16)) | regs[:, i::BAND].astype(np.uint64)
-    return mix(mix(packed) + GOLD * np.arange(1, M // BAND + 1, dtype=np.uint64)).view(np.int64)
+        packed = (packed << np.uint64(16)) | regs[:, i:BANDS * BAND:BAND].astype(np.uint64)
+    return mix(mix(packed) + GOLD * np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64)
 
 
 def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -111,8 +115,9 @@ def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
 def likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Pairs that may be linked: sizes allow it (exact), and the estimate does not speak against it."""
     fits = 100 * np.minimum(na, nb) >= LINK_PERCENT * np.maximum(na, nb)
-    at = np.flatnonzero(fits)
-    fits[at] = similarity(a[at], b[at], na[at], nb[at]) >= DROP
+    # Fewer equal registers than this never give an estimate of DROP; the likelihood need not be asked.
+    fits[fits] = (a[fits] == b[fits]).sum(axis=1) >= (DROP - 0.03) * M
+    fits[fits] = similarity(a[fits], b[fits], na[fits], nb[fits]) >= DROP
     return fits
 
 
@@ -188,8 +193,8 @@ def _verify(table: pa.Table) -> pa.Table:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose full sets are linked. A node's partners are split into groups of about BLOCK texts."""
-    size = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("groups"))
+    """The pairs whose full sets are linked. A node's partners are split into groups of about TEXTS texts."""
+    size = pairs.groupBy("a").agg(F.ceil(F.count("*") / TEXTS).alias("groups"))
     dealt = pairs.join(size, "a").withColumn("g", F.pmod(F.xxhash64("b"), F.col("groups")))
     ends = dealt.select(F.col("b").alias("id"), "a", "g", F.lit(False).alias("pivot")).unionByName(
         dealt.select(F.col("a").alias("id"), "a", "g", F.lit(True).alias("pivot")).distinct())
@@ -218,8 +223,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of different classes in buckets of three nodes or more, by estimate; the largest class is spared."""
-    named = buckets.select("key", "id").join(labels, "id", "left").select(
-        "key", "id", F.coalesce("label", "id").alias("label"))
+    named = buckets.filter(F.col("band") < RETRY).select("key", "band", "id").join(labels, "id", "left").select(
+        "key", "band", "id", F.coalesce("label", "id").alias("label"))
     parts = named.groupBy("key", "label").agg(F.count("*").alias("n"))
     split = parts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"),
                                      F.max("n").alias("most")).filter("all > 2 AND most < all")
@@ -232,7 +237,7 @@ def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
     placed = placed.withColumn("own", F.when(F.col("out"), own).otherwise(F.col("outs") + own)) \
         .withColumn("other", F.explode(F.when(F.col("out"), F.sequence(F.lit(0), F.col("outs") + F.col("mains") - 1))
                                        .otherwise(F.sequence(F.lit(0), F.col("outs") - 1)))) \
-        .select("key", "id", "label", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        .select("key", "band", "id", "label", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     full = placed.join(nodes.select("id", "n_shingles", "regs"), "id")
     kind = dict(nodes.dtypes)["id"]
 
@@ -240,12 +245,14 @@ def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
         ids, label = np.array(table.column("id").to_pylist()), np.array(table.column("label").to_pylist())
         own, x = (table.column(c).to_numpy() for c in ("own", "x"))
         n, regs = table.column("n_shingles").to_numpy(), _regs(table.column("regs"))
-        left = np.flatnonzero(own == x)
+        band, left = table.column("band")[0].as_py(), np.flatnonzero(own == x)
         right = left if table.column("y")[0].as_py() == x[0] else np.flatnonzero(own != x)
-        out = []
+        out, low = [], regs[:, :FEW].astype(np.uint8)
+        others = low[right]
         for i in left:
-            j = right[(label[right] != label[i])]
+            j = right[(label[right] != label[i]) & ((others == low[i]).sum(axis=1, dtype=np.uint8) >= FEW_EQUAL)]
             j = j[likely(np.broadcast_to(regs[i], (len(j), M)), regs[j], np.full(len(j), n[i]), n[j])]
+            j = j[(regs[j, :BANDS * BAND] == regs[i, :BANDS * BAND]).reshape(-1, BANDS, BAND).all(axis=2).argmax(axis=1) == band]
             out += [(min(ids[i], o), max(ids[i], o)) for o in ids[j]]
         a, b = zip(*sorted(set(out))) if out else ((), ())
         t = table.schema.field("id").type
@@ -262,7 +269,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     nodes_of = materialise(usable.groupBy("s1", "s2").agg(F.min("id").alias("node")))
     nodes = materialise(usable.join(nodes_of.select(F.col("node").alias("id"), "s1", "s2"), ["id", "s1", "s2"], "left_semi")
                         .dropDuplicates(["id", "s1", "s2"]))
-    bands = nodes.select("id", F.explode("bands").alias("key"))
+    bands = nodes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = bands.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
     buckets = materialise(bands.join(shared.select("key", "first"), "key"))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
@@ -277,3 +284,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     least = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")).otherwise(F.col("id"))
     return found.select(F.col("id").alias(key), "n_shingles", F.when(F.col("id").isNotNull(), least).alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row with the least key of each class, all columns; rows without key stay."""
+    kept = classes(docs, key, text).filter(F.col("kept") & F.col(key).isNotNull()).select(key).distinct()
+    return docs.filter(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns) \
+        .unionByName(docs.filter(F.col(key).isNull()))

@@ -6,9 +6,9 @@ import json
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from opsight.llm import language, near, packing, quality, secrets, tokens, toxicity
+from opsight.llm import extract, fingerprint, language, mixing, near, packing, quality, secrets, tokens, toxicity
 from opsight.llm.common import in_fold, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -47,6 +47,10 @@ def op4_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.classes(table(spark, sf_dir, "documents"))
 
 
+def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"), extract.train())
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents; learns from those outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -66,8 +70,15 @@ def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), pieces)
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+    return piece_digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer()))
+
+
+def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
 
@@ -76,4 +87,17 @@ def tokenizer(path: str | None = None) -> str:
     return Path(path or public_tokenizers.path("word_bpe_49k.json")).read_text()
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_secrets, op4_near, op6_language, op7_tokens, op9_packing)}
+def mix_levels() -> dict[str, Column]:
+    """The tree of the documents: sources in five domains by their number, languages, sources."""
+    digits = F.regexp_extract("source", r"(\d+)$", 1)
+    return {"domain": F.when(digits != "", F.concat(F.lit("domain"), digits.cast("long") % 5)).otherwise("other"),
+            "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tokens there are, drawn anew to weights that temper the supplies, from two epochs at most."""
+    return mixing.mix(table(spark, sf_dir, "documents"), mix_levels())
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_secrets, op4_near, op5_extract, op6_language, op7_tokens,
+                                   op8_fingerprint, op9_packing, op10_mixing)}
