@@ -237,15 +237,15 @@ class Decoder:
 
 def extract(pages: DataFrame, model: Model, page: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns `keep` with the main text and its code points."""
-    read = pages.select(*keep, F.col(page).alias("t"))
+    read = pages.select(*keep, F.col(page).alias("_whole_text"))
     sent = pages.sparkSession.sparkContext.broadcast(model)  # as large as the labelled set's features
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = Decoder(sent.value)
-        for part in slices(batches, "t"):
-            texts = [decode(p) for p in strings(part, "t")]
+        for part in slices(batches, "_whole_text"):
+            texts = [decode(p) for p in strings(part, "_whole_text")]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in keep), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=[*keep, "text", "n_chars"])
 
-    return read.mapInArrow(run, read.drop("t").schema.add("text", "string").add("n_chars", "long"))
+    return read.mapInArrow(run, read.drop("_whole_text").schema.add("text", "string").add("n_chars", "long"))

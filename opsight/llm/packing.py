@@ -14,6 +14,7 @@ shard's order (hash, document id), so that a task run again gives the same piece
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from opsight.llm.common import Memo, slices, strings
+from opsight.llm.common import slices, strings
 
 WINDOW, END = 2048, 1
 SHARD_CHARS, SHARD_TOKENS = 6_000_000, 6_000_000
@@ -31,43 +32,63 @@ K1, B = 1.2, 0.75
 IDS = np.dtype("<u4")
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(content: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_str(content)
-
-
 class Encoder:
     """Token ids of texts, worked out once for each word.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its words in turn.
-    Texts with the control characters that Python alone takes for white space are encoded whole.
+    The tokenizer lowers case, drops white space and cuts between letters and signs, so the ids of a text are those of its
+    words in turn, and a word of plain letters with a stop or comma is its letters' ids and the sign's. The letters still
+    unknown are encoded in one go: each such run ends with the one token that carries the end mark. Texts with the control
+    characters that Python alone takes for white space are encoded whole.
     """
 
     ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+    WORDS = 500_000
 
     def __init__(self, content: str):
-        self.tokenizer = _tokenizer(content)
-        self.words = Memo(None)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(content)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.signs = {s: self.whole(s) if s else b"" for s in ("", ".", ",")}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, IDS).tobytes()
+
+    def learn(self, missing: list[str]) -> None:
+        plain = {w: (m[1].lower(), m[2]) for w in missing if (m := self.PLAIN.fullmatch(w))}
+        cores = sorted({core for core, _ in plain.values()} - self.words.keys())
+        for start in range(0, len(cores), 5000):
+            part = cores[start:start + 5000]
+            ids = np.frombuffer(self.whole(" ".join(part)), IDS)
+            edge = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
+            data = ids.tobytes()
+            for core, a, b in zip(part, edge, edge[1:], strict=False):
+                self.words[core] = data[a:b]
+        for word, (core, sign) in plain.items():
+            self.words[word] = self.words[core] + self.signs[sign]
+        rest = [w for w in missing if w not in plain]
+        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.words[word] = np.array(found.ids, IDS).tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         split = [None if any(c in t for c in self.ODD) else t.split() for t in texts]
-        if len(self.words) > self.words.limit:
+        if len(self.words) > self.WORDS:
             self.words.clear()
-        missing = sorted(set().union(*(w for w in split if w)) - self.words.keys())
-        for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            self.words[word] = np.array(found.ids, IDS).tobytes()
+        self.learn(sorted(set().union(*(w for w in split if w)) - self.words.keys()))
         get, end = self.words.__getitem__, np.array([END], IDS).tobytes()
-        out = []
-        for text, words in zip(texts, split):
-            if words is None:
-                data = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, IDS).tobytes()
-            else:
-                data = b"".join(map(get, words))
-            out.append(np.frombuffer(data + end, IDS))
-        return out
+        return [np.frombuffer((self.whole(text) if words is None else b"".join(map(get, words))) + end, IDS)
+                for text, words in zip(texts, split)]
+
+
+@lru_cache(maxsize=1)
+def encoder(content: str) -> Encoder:
+    """One for each worker process; the words it knows serve its later tasks."""
+    return Encoder(content)
 
 
 class Index:
@@ -174,7 +195,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     content = spark.sparkContext.broadcast(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(content.value)
+        encode = encoder(content.value)
         number = (TaskContext.get().partitionId() << 32) - 1
         keys, held = [], []
 

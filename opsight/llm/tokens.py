@@ -74,8 +74,10 @@ class Automaton:
 
 
 @lru_cache(maxsize=1)
-def automaton(pieces: tuple[str, ...]) -> Automaton:
-    return Automaton(pieces)
+def word_sizes(pieces: tuple[str, ...]) -> Memo:
+    """Pieces by word, for all tasks of a worker process."""
+    machine = Automaton(pieces)
+    return Memo(lambda word: machine.count(MARK + word))
 
 
 def count_tokens(docs: DataFrame, pieces: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -87,8 +89,7 @@ def count_tokens(docs: DataFrame, pieces: list[str], key: str = "doc_id", text:
     sent = docs.sparkSession.sparkContext.broadcast(tuple(pieces))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(sent.value)
-        sizes = Memo(lambda word: machine.count(MARK + word))
+        sizes = word_sizes(sent.value)
         for part in slices(batches, "t"):
             rows = []
             for t in strings(part, "t"):

@@ -118,18 +118,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
           keep: tuple[str, ...] = ()) -> DataFrame:
     """Key, the columns `keep`, toxicity score (0 to 1) and predicted (1 from THRESHOLD on) of every whole text."""
-    read = docs.select(F.col(key), *keep, F.col(text).alias("t"))
+    read = docs.select(F.col(key), *keep, F.col(text).alias("_whole_text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most the sample's words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value.weights, sent.value.bias
-        for part in slices(batches, "t"):
+        for part in slices(batches, "_whole_text"):
             # A fixed order of summands, so that equal texts have equal scores in every process.
             z = [bias + sum(sorted(map(weights.__getitem__, weights.keys() & set(WORD.findall(t.lower())))))
-                 for t in strings(part, "t")]
+                 for t in strings(part, "_whole_text")]
             p = sigmoid(np.array(z, float))
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in (key, *keep)), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))],
                 names=[key, *keep, "score", "predicted"])
 
-    return read.mapInArrow(run, read.drop("t").schema.add("score", "double").add("predicted", "integer"))
+    return read.mapInArrow(run, read.drop("_whole_text").schema.add("score", "double").add("predicted", "integer"))
