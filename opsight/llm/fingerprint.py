@@ -97,12 +97,14 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     twice: to the row that names who needs its front, then its front to that document.
     """
     links = materialise(chain(docs, key, text))
+    # A NULL key gets a name, so that rows are matched by plain equality and the deduplicated texts need not move again.
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
     own = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.xxhash64(text).alias("tie")) \
-        .dropDuplicates(["id", "tie"])
-    own = with_fingerprint(own, "t", "f")
-    asked = links.select(F.col("next_id").alias("n_id"), F.col("next_tie").alias("n_tie"), F.col("id").alias("to_id"),
+        .withColumn("name", name("id")).dropDuplicates(["name", "tie"])
+    own = with_fingerprint(own, "t", "f").withColumn("f", F.unhex("f"))
+    asked = links.select(name("next_id").alias("name"), F.col("next_tie").alias("tie"), F.col("id").alias("to_id"),
                          F.col("tie").alias("to_tie"), F.col("half").alias("wanted"))
-    met = own.join(asked, F.col("id").eqNullSafe(F.col("n_id")) & (F.col("tie") == F.col("n_tie")))
+    met = own.join(asked, ["name", "tie"])
     n = F.length("t")
     halves = met.select(F.explode(F.array(
         F.struct("id", "tie", F.lit(True).alias("own"), n.alias("n"), F.col("f"),
@@ -112,7 +114,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     # Two rows for each document meet: its own front half and the front of the next.
     pick = lambda c, side: F.max(F.when(F.col("own") == side, F.col(c)))
     pairs = halves.groupBy("id", "tie").agg(
-        pick("n", True).alias("n_chars"), pick("f", True).alias("fingerprint"), pick("f", False).alias("then"),
+        pick("n", True).alias("n_chars"), F.lower(F.hex(pick("f", True))).alias("fingerprint"), F.lower(F.hex(pick("f", False))).alias("then"),
         pick("p", True).alias("p"), pick("p", False).alias("q")).withColumn("edited", F.concat("p", "q"))
     done = with_fingerprint(pairs, "edited", "edited_fingerprint")
     return done.select(
