@@ -123,14 +123,15 @@ def match_runbooks(
     runbook_id: str = "runbook_id",
     runbook_service: str = "service_name",
     symptoms: str = "symptoms",
-    categories: Sequence[str] = (),
     n: int = 5,
 ) -> DataFrame:
     """Runbooks of the same service or whose symptoms mention the category, first ``n`` by id.
 
-    The OR is split into two equi-joins instead of testing every pair. Each side keeps only
-    its first ``n`` runbooks per service or category before the join: a request can use no
-    more than that, so the join output is bounded by ``2 n`` rows per request.
+    The OR is split into two equi-joins instead of testing every pair: a category is mentioned
+    where it equals a part of the symptoms as long as itself, so the symptoms are cut into parts
+    of the lengths that requested categories have. Each side keeps only its first ``n`` runbooks
+    per service or category before the join: a request can use no more than that, so the join
+    output is bounded by ``2 n`` rows per request.
     """
     books = runbooks.select(
         F.col(runbook_id),
@@ -145,13 +146,14 @@ def match_runbooks(
     first = [F.col(runbook_id)]
     by_service = latest_n(books, ["_service"], first, n).select("_service", runbook_id)
 
-    labels = F.array(*[F.lit(c) for c in sorted({c.lower() for c in categories} | {""})])
-    mentioned = books.select(
-        runbook_id,
-        F.explode(
-            F.filter(labels, lambda c: F.like(F.col("_symptoms"), F.concat(F.lit("%"), c, F.lit("%"))))
-        ).alias("_category"),
-    )
+    wanted = asked.select("_category").distinct()
+    lengths = wanted.agg(F.collect_set(F.length("_category")).alias("n")).scalar()
+    size = F.length("_symptoms")
+    parts = F.flatten(F.transform("_lengths", lambda n: F.when(n == 0, F.array(F.lit(""))).when(
+        size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.col("_symptoms").substr(i, n)))
+        .otherwise(F.array().cast("array<string>"))))
+    mentioned = books.filter(size.isNotNull()).withColumn("_lengths", lengths) \
+        .select(runbook_id, F.explode(F.array_distinct(parts)).alias("_category")).join(wanted, "_category", "left_semi")
     by_category = latest_n(mentioned, ["_category"], first, n).select("_category", runbook_id)
 
     hits = (

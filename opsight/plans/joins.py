@@ -93,7 +93,6 @@ def suppress_recent(t):
                              F.lit("2002-01-01 00:00:00").cast("timestamp"))
 
 
-CATEGORIES = ["ring", "Widget", "gear", "nothing_known", "bolt"]
 
 
 @query("match_runbooks", """
@@ -104,7 +103,7 @@ WITH books AS (SELECT runbook_id, lower(service_name) AS s, lower(symptoms) AS y
 SELECT request_id, runbook_id, CAST(rn AS INTEGER) AS runbook_rank
 FROM tickets JOIN hits ON lower(service_guess) = s AND lower(category) = c WHERE rn <= 5""")
 def match_runbooks(t):
-    return J.match_runbooks(t.tickets, t.runbooks, categories=CATEGORIES)
+    return J.match_runbooks(t.tickets, t.runbooks)
 
 
 @query("latest_n", """
@@ -135,10 +134,10 @@ def dedup(t):
 
 
 @query("key_diff", """
-(SELECT user_id, 'left' AS side FROM (SELECT user_id FROM metrics WHERE cpu > 98
+(SELECT user_id, 'left' AS side FROM (SELECT user_id FROM metrics
    EXCEPT SELECT user_id FROM changes))
 UNION ALL
 (SELECT user_id, 'right' AS side FROM (SELECT user_id FROM changes
-   EXCEPT SELECT user_id FROM metrics WHERE cpu > 98))""")
+   EXCEPT SELECT user_id FROM metrics))""")
 def key_diff(t):
-    return J.key_diff(t.metrics.filter("cpu > 98").select("user_id"), t.changes.select("user_id"))
+    return J.key_diff(t.metrics.select("user_id"), t.changes.select("user_id"))

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from opsight.functions import text as X
 from opsight.functions.nested import flatten_result as flatten
 from opsight.operators import assist as S, joins as J, logs as G, retrieval as V, security as Z
-from opsight.plans.joins import CATEGORIES
 from opsight.plans.registry import query
 
 
@@ -247,7 +246,7 @@ WITH books AS (SELECT runbook_id, lower(service_name) AS s, lower(symptoms) AS y
 SELECT request_id, coalesce(runbooks, '') AS runbooks, coalesce(reports, '') AS reports FROM tickets
 LEFT JOIN ctx ON lower(service_guess) = ctx.s AND lower(category) = ctx.c LEFT JOIN rr ON lower(service_guess) = rr.s""")
 def assemble_context(t):
-    matches = J.match_runbooks(t.tickets, t.runbooks, categories=CATEGORIES)
+    matches = J.match_runbooks(t.tickets, t.runbooks)
     ctx = S.assemble_context(t.tickets, matches, t.runbooks, t.reports)
     pair = lambda c, a, b: F.array_join(
         F.transform(c, lambda x: F.concat(x[a].cast("string"), F.lit(":"), x[b])), "|")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -34,25 +35,44 @@ def local_session(app: str = "opsight", cpus: int = 8, **conf: str) -> SparkSess
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a fresh folder only when none is named."""
+    """The cluster's shared checkpoint folder; only a local master gets a temporary one where none is named."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    jsc = spark.sparkContext._jsc.sc()
-    if configured:
-        if jsc.getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if jsc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="opsight-ckpt-"))
-    return jsc.getCheckpointDir().get()
+    context = spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    if not known.isEmpty():
+        return configured or known.get()
+    if not configured:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        configured = tempfile.mkdtemp(prefix="opsight-ckpt-")
+    context.setCheckpointDir(configured)
+    return configured
+
+
+def _remove_stages(spark: SparkSession, folder: str) -> None:
+    """Delete what this session wrote, if the session still runs when Python ends."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the session is gone; the folder's owner clears it
+        return
+
+
+_FOLDERS: set[str] = set()
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage of a stage that several branches or iterations read.
 
     The stage is written as a table in the shared checkpoint folder, so a lost executor costs
-    nothing, no branch recomputes it, and readers fetch only the columns they use.
+    nothing, no branch recomputes it, and readers fetch only the columns they use. The stages of a
+    session lie in one folder, which is deleted when Python ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    folder = f"{ensure_checkpoint_dir(spark)}/opsight-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove_stages, spark, folder)
+    path = f"{folder}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -152,7 +152,7 @@ def test_runbook_lookup_equals_the_or_join(spark):
         "runbook_id long, service_name string, symptoms string")
     asks = spark.createDataFrame([(1, "SVC0", "disk"), (2, "none", "cpu"), (3, None, None), (4, "svc1", "zzz")],
                                  "request_id long, service_guess string, category string")
-    got = J.match_runbooks(asks, books, categories=["disk", "cpu", "zzz"])
+    got = J.match_runbooks(asks, books)
     table = books.collect()
     for ask in asks.collect():
         s, c = (ask[1] or "").lower(), (ask[2] or "").lower()
