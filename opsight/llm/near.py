@@ -37,6 +37,8 @@ M, BANDS, BAND = 256, 32, 4
 BASE, RATE, TOP = 1.02, 20.0, 4095
 DROP = 0.745
 BLOCK, TEXTS = 1024, 128
+#: Pairs whose estimates are worked out at once.
+PAIRS = 4096
 #: Step 4 first counts equal low bytes of FEW registers (a link falls below FEW_EQUAL with a chance of 1e-7), and uses the
 #: buckets of the first RETRY bands (a link shares none of them with a chance of 8e-6).
 FEW, FEW_EQUAL, RETRY = 64, 38, 16
@@ -100,16 +102,12 @@ def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
     """
     up, down = (a > b).sum(axis=1), (a < b).sum(axis=1)
     u = na / (na + nb)
-    grid = np.linspace(0, 1, 101)
-    best, arg = np.full(len(a), -np.inf), np.zeros(len(a))
-    for j in grid:
-        p, q = (-np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
-                for x in (u - (1 - u) * j, (1 - u) - u * j))
-        value = up * np.log(p + 1e-12) + down * np.log(q + 1e-12) + (M - up - down) * np.log(np.clip(1 - p - q, 1e-12, 1))
-        value[j > np.minimum(u, 1 - u) / np.maximum(u, 1 - u) + 0.005] = -np.inf
-        more = value > best
-        best[more], arg[more] = value[more], j
-    return arg
+    u, j = u[:, None], np.linspace(0, 1, 101)
+    p, q = (-np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE) for x in (u - (1 - u) * j, (1 - u) - u * j))
+    value = up[:, None] * np.log(p + 1e-12) + down[:, None] * np.log(q + 1e-12) \
+        + (M - up - down)[:, None] * np.log(np.clip(1 - p - q, 1e-12, 1))
+    value[j > np.minimum(u, 1 - u) / np.maximum(u, 1 - u) + 0.005] = -np.inf
+    return j[value.argmax(axis=1)]
 
 
 def likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -159,8 +157,8 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                p = batch.slice(start, 4096)
+            for start in range(0, batch.num_rows, PAIRS):
+                p = batch.slice(start, PAIRS)
                 sizes = (p.column(c).to_numpy() for c in ("na", "nb"))
                 on = pa.array(likely(_regs(p.column("ra")), _regs(p.column("rb")), *sizes))
                 yield pa.RecordBatch.from_arrays([p.column("a").filter(on), p.column("b").filter(on)], names=["a", "b"])
@@ -247,14 +245,29 @@ def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
         n, regs = table.column("n_shingles").to_numpy(), _regs(table.column("regs"))
         band, left = table.column("band")[0].as_py(), np.flatnonzero(own == x)
         right = left if table.column("y")[0].as_py() == x[0] else np.flatnonzero(own != x)
-        out, low = [], regs[:, :FEW].astype(np.uint8)
-        others = low[right]
+        low, same = regs[:, :FEW].astype(np.uint8), right is left
+        others, first, second, held, found = low[right], [], [], 0, []
+
+        def judge() -> None:
+            i, j = np.concatenate(first), np.concatenate(second)
+            on = (regs[j, :BANDS * BAND] == regs[i, :BANDS * BAND]).reshape(-1, BANDS, BAND).all(axis=2).argmax(axis=1) == band
+            i, j = i[on], j[on]
+            on = likely(regs[i], regs[j], n[i], n[j])
+            found.extend((min(p, q), max(p, q)) for p, q in zip(ids[i[on]], ids[j[on]]))
+
         for i in left:
             j = right[(label[right] != label[i]) & ((others == low[i]).sum(axis=1, dtype=np.uint8) >= FEW_EQUAL)]
-            j = j[likely(np.broadcast_to(regs[i], (len(j), M)), regs[j], np.full(len(j), n[i]), n[j])]
-            j = j[(regs[j, :BANDS * BAND] == regs[i, :BANDS * BAND]).reshape(-1, BANDS, BAND).all(axis=2).argmax(axis=1) == band]
-            out += [(min(ids[i], o), max(ids[i], o)) for o in ids[j]]
-        a, b = zip(*sorted(set(out))) if out else ((), ())
+            j = j[j > i] if same else j
+            if len(j):
+                first.append(np.full(len(j), i))
+                second.append(j)
+                held += len(j)
+            if held >= PAIRS:
+                judge()
+                first, second, held = [], [], 0
+        if held:
+            judge()
+        a, b = zip(*sorted(set(found))) if found else ((), ())
         t = table.schema.field("id").type
         return pa.table({"a": pa.array([v.item() if hasattr(v, "item") else v for v in a], t),
                          "b": pa.array([v.item() if hasattr(v, "item") else v for v in b], t)})
