@@ -45,6 +45,7 @@ def asof_join(
     same instant, and the last right row seen is carried forward. The stream is split by
     time, so the only unsplit work is one summary row per key and bucket. ``index`` may name
     a shorter relation with the keys and times of ``left``, such as the scan it derives from.
+    A left row without a time matches nothing; a right row without one is never matched.
     """
     payload = F.struct(F.col(right_ts).alias(right_ts), *[F.col(c) for c in take])
     r = right.select(
@@ -69,7 +70,8 @@ def asof_join(
         )
         short = times.unionByName(r, allowMissingColumns=True)
     joined = carry_last(stream, by, ["_t", "_side", "_tie"], F.col("_hit"), "_match", bucket, short)
-    return joined.filter(F.col("_side") == 1).select(
+    timed = F.when(F.col("_t").isNotNull(), F.col("_match"))
+    return joined.filter(F.col("_side") == 1).withColumn("_match", timed).select(
         *by, "_row.*", F.col(f"_match.{right_ts}").alias(right_ts), *[F.col(f"_match.{c}").alias(c) for c in take]
     )
 

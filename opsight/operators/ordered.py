@@ -13,7 +13,8 @@ finishes. Everything here therefore splits a series by time first:
 
 Every one is exact. The per-bucket summaries have one row per key and bucket, so the only
 window that spans a whole series runs over ``time range / bucket`` rows. Rows whose key is
-NULL form no series and are dropped, as grouping by that key does in pandas.
+NULL form no series and are dropped, as grouping by that key does in pandas. Rows whose time
+is NULL come last in their series.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 BUCKET, POS, CHUNK, HALO = "_bucket", "_pos", "_chunk", "_halo"
+#: Bucket of the rows without a time.
+UNTIMED = 1 << 62
 
 UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -69,7 +72,7 @@ def _attach(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def _bucket_of(order: Sequence[str], bucket: str | Column) -> Column:
-    return time_bucket(order[0], bucket) if isinstance(bucket, str) else bucket
+    return F.coalesce(time_bucket(order[0], bucket), F.lit(UNTIMED)) if isinstance(bucket, str) else bucket
 
 
 def positions(
@@ -142,7 +145,7 @@ def over_chunks(
     """Trailing frames computed by pandas, one bounded chunk of a series at a time.
 
     For statistics whose native form recomputes every frame from scratch. ``compute`` gets a
-    chunk in order, at most ``chunk + before`` rows, and returns the columns of ``schema``.
+    chunk in order, at most ``max(chunk, 2 * before) + before`` rows, and returns the columns of ``schema``.
     ``exprs`` adds native frame columns from the same shuffle.
     """
     spread = _chunked(df, keys, order, before, 0, bucket, chunk, index)
@@ -171,8 +174,8 @@ def _chunked(
     index: DataFrame | None,
 ) -> DataFrame:
     """Rows with their chunk, plus the copies neighbouring chunks need."""
-    if before >= chunk or after >= chunk:
-        raise ValueError("a frame must be smaller than a chunk")
+    # A wide frame makes wide chunks, so that the copies stay below the rows themselves.
+    chunk = max(chunk, 2 * before, 2 * after)
     placed = positions(df, keys, order, bucket, index)
     home = F.floor(F.col(POS) / chunk).cast("bigint")
     inside = F.pmod(F.col(POS), F.lit(chunk))
@@ -206,8 +209,9 @@ def carry_last(
     ``index`` is any relation with the same keys, times and values as ``df``; the per-bucket
     pass reads it instead, which spares a long derivation of ``df`` a second evaluation.
     """
-    base = df.withColumn(BUCKET, time_bucket(order[0], bucket)).withColumn("_v", value)
-    short = base if index is None else index.withColumn(BUCKET, time_bucket(order[0], bucket)).withColumn("_v", value)
+    place = _bucket_of(order, bucket)
+    base = df.withColumn(BUCKET, place).withColumn("_v", value)
+    short = base if index is None else index.withColumn(BUCKET, place).withColumn("_v", value)
     seen = F.when(F.col("_v").isNotNull(), F.struct(*[F.col(c) for c in order]))
     per_bucket = short.groupBy(*keys, BUCKET).agg(F.max_by("_v", seen).alias("_last"))
     earlier = per_bucket.select(
@@ -231,7 +235,7 @@ def running_sum(
     bucket: str = "1 hour",
 ) -> DataFrame:
     """Cumulative sum including the current row."""
-    base = df.withColumn(BUCKET, time_bucket(order[0], bucket)).withColumn("_v", F.coalesce(value, F.lit(0)))
+    base = df.withColumn(BUCKET, _bucket_of(order, bucket)).withColumn("_v", F.coalesce(value, F.lit(0)))
     per_bucket = base.groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_sum"))
     earlier = per_bucket.select(
         *keys, BUCKET, F.coalesce(F.sum("_sum").over(_before(keys)), F.lit(0)).alias("_earlier")

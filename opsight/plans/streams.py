@@ -78,9 +78,15 @@ def to_messages(t):
         F.concat_ws("|", *[F.col("a")[k] for k in ("service", "recommended_operation", "priority")]).alias("attributes"))
 
 
-@query("suppress_stream", "SELECT DISTINCT service FROM anomalies_in")
+@query("suppress_stream", """
+WITH RECURSIVE d AS MATERIALIZED (SELECT DISTINCT service, ts FROM anomalies_in),
+ n AS MATERIALIZED (SELECT a.service, a.ts, b.ts AS later FROM d a ASOF JOIN d b
+   ON a.service = b.service AND a.ts + INTERVAL 60 MINUTE < b.ts),
+ sent AS (SELECT service, min(ts) AS ts FROM d GROUP BY service
+   UNION ALL SELECT n.service, n.later FROM sent JOIN n ON sent.service = n.service AND sent.ts = n.ts)
+SELECT service, ts FROM sent""")
 def suppress_stream(t):
-    return S.run_to_end(S.suppress_stream(stream(t, "anomalies_in"), ["service"], "ts").select("service"), "suppress")
+    return S.run_to_end(S.suppress_stream(stream(t, "anomalies_in").select("service", "ts"), ["service"], "ts"), "suppress")
 
 
 @query("tumbling_alert", """

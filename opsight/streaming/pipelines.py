@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsight.functions.nested import decode_message
@@ -74,13 +76,42 @@ def operation_messages(routed: DataFrame) -> DataFrame:
     return to_messages(routed.drop("error"), ["severity", "service", "recommended_operation", "priority"], key="event_id")
 
 
-def suppress_stream(items: DataFrame, keys: Sequence[str], ts: str, minutes: int = 60) -> DataFrame:
-    """First item of each key; repeats within the interval after it are dropped.
+def suppress_stream(
+    items: DataFrame, keys: Sequence[str], ts: str, minutes: int = 60, tie: Sequence[str] = ()
+) -> DataFrame:
+    """Items to notify: those more than ``minutes`` after the last notification of their key.
 
-    State holds one entry per key for the interval. Unlike the batch rule, the interval
-    counts from the first item seen, not from the last notification sent.
+    State holds the time of the last notification per key and expires with the interval, so the
+    result does not depend on how input in time order is cut into batches. Of items at one instant the
+    first by ``tie`` counts; an item older than the last notification is dropped; items without a
+    time are passed on. A task holds the items one key has in one batch: limit batches at the source
+    and select the columns needed first.
     """
-    return items.withWatermark(ts, f"{minutes} minutes").dropDuplicatesWithinWatermark(list(keys))
+    gap = minutes * 60_000_000
+
+    def decide(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames), ignore_index=True)
+        timed = rows[rows[ts].notna()].sort_values([ts, *tie], kind="stable", ignore_index=True)
+        if len(timed) < len(rows):
+            yield rows[rows[ts].isna()]
+        times = timed[ts].to_numpy("datetime64[us]").astype("int64")
+        last = state.get[0] if state.exists else None
+        at, sent = 0 if last is None else int(np.searchsorted(times, last + gap, "right")), []
+        while at < len(times):
+            sent.append(at)
+            last = int(times[at])
+            at = int(np.searchsorted(times, last + gap, "right"))
+        if last is not None:
+            state.update((last,))
+            state.setTimeoutTimestamp(max((last + gap) // 1000, state.getCurrentWatermarkMs()) + 1)
+        if sent:
+            yield timed.iloc[sent]
+
+    return items.withWatermark(ts, f"{minutes} minutes").groupBy(*keys).applyInPandasWithState(
+        decide, items.schema, "last bigint", "append", "EventTimeTimeout")
 
 
 def tumbling_alert(

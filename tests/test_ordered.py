@@ -176,3 +176,26 @@ def test_asof_with_a_short_index_is_the_same(spark):
     args = (["k"], "ts", "cts", ["no"], "id", "no")
     a, b = J.asof_join(left, right, *args), J.asof_join(left, right, *args, index=left.select("k", "ts"))
     assert a.count() == 200 and a.exceptAll(b).count() == 0
+
+
+def test_rows_without_a_time_come_last(spark):
+    rows = [("a", None, 9, 5.0), *[("a", START + timedelta(hours=i), i, float(i)) for i in range(3)]]
+    df = frame(spark, rows)
+    got = {r["id"]: r["v_lag_1"] for r in W.lags(df, ["k"], ["ts", "id"], "v", [1]).collect()}
+    assert got == {0: None, 1: 0.0, 2: 1.0, 9: 2.0}
+    sums = {r["id"]: r["s"] for r in running_sum(df, ["k"], ["ts", "id"], F.col("v"), "s").collect()}
+    assert sums == {0: 0.0, 1: 1.0, 2: 3.0, 9: 8.0}
+    hits = J.asof_join(df, df.select("k", F.col("ts").alias("seen"), "id", F.col("v").alias("w")), ["k"], "ts", "seen",
+                       ["w"], "id", "id")
+    assert {r["id"]: r["w"] for r in hits.collect()} == {0: 0.0, 1: 1.0, 2: 2.0, 9: None}
+
+
+def test_frames_wider_than_a_chunk(spark):
+    rows = series(300)
+    total = lambda w: {"total": F.round(F.sum("v").over(w.rowsBetween(-40, 30)), 6)}
+    got = over_frames(frame(spark, rows), ["k"], ["ts", "id"], total, before=40, after=30, chunk=10)
+    want = {}
+    for _, part in pandas_of(rows).groupby("k"):
+        v = part["v"].to_numpy()
+        want |= {i: round(float(v[max(0, at - 40):at + 31].sum()), 6) for at, i in enumerate(part["id"])}
+    assert {r["id"]: r["total"] for r in got.collect()} == pytest.approx(want)

@@ -139,3 +139,19 @@ def test_feature_importance_names_columns(spark):
     spec = M.Features(numeric=["v"], categorical=["c"], label="y")
     got = {r["feature"]: r["importance"] for r in M.feature_importance(M.train_classifier(df, spec, trees=5), df).collect()}
     assert "v" in got and abs(sum(got.values()) - 1) < 1e-6
+
+
+@pytest.mark.parametrize("files", [1, 6])
+def test_suppression_is_the_same_in_one_batch_or_many(spark, tmp_path, files):
+    minutes = [0, 0, 20, 60, 61, 70, 121, 122, 300, 359, 361, 500]
+    step = len(minutes) // files
+    for i in range(files):
+        part = minutes[i * step:(i + 1) * step]
+        rows = [(k, m) for m in part for k in ("a", "b")]
+        (spark.createDataFrame(rows, "k string, m int").coalesce(1)
+         .select("k", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("m") * 60).alias("ts"))
+         .write.mode("append").parquet(str(tmp_path / "in")))
+    items = spark.readStream.schema("k string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    sent = S.run_to_end(S.suppress_stream(items, ["k"], "ts"), "suppress")
+    got = sent.select("k", ((F.unix_seconds("ts") - 1_700_000_000) / 60).cast("int").alias("m")).collect()
+    assert sorted(map(tuple, got)) == [(k, m) for k in ("a", "b") for m in (0, 61, 122, 300, 361, 500)]

@@ -185,10 +185,12 @@ def test_quality_report_fails_on_each_hard_check(spark):
     assert rows[("missing_column", "gone")]["passed"] is False and rows[("passed", "*")]["passed"] is False
 
 
-def test_dummy_columns_refuse_rather_than_cut(spark):
-    df = spark.range(10).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        Q.dummy_columns(df, ["c"], max_values=5)
+def test_dummy_columns_take_any_number_of_values(spark):
+    df = spark.range(300).select(F.col("id").cast("string").alias("c")).unionByName(
+        spark.createDataFrame([(None,)], "c string"))
+    got = Q.dummy_columns(df, ["c"])
+    assert len(got.columns) == 301
+    assert got.select(F.expr("c"), F.col("c_7")).filter("c_7 = 1 OR c IS NULL").count() == 2
 
 
 def test_executive_summary_text(spark):
