@@ -7,7 +7,7 @@ the rows it was given (see :func:`opsight.session.materialise`).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -20,10 +20,12 @@ from pyspark.ml.feature import (
     Imputer,
     IndexToString,
     NGram,
+    Normalizer,
     OneHotEncoder,
     RegexTokenizer,
     SQLTransformer,
     StandardScaler,
+    StopWordsRemover,
     StringIndexer,
     VectorAssembler,
 )
@@ -41,15 +43,16 @@ from opsight.session import materialise
 
 @dataclass(frozen=True)
 class Features:
-    """Columns of a model and how wide its text vocabulary may get."""
+    """Columns of a model. ``vocabulary`` bounds the terms only where it is set."""
 
     numeric: Sequence[str] = ()
     categorical: Sequence[str] = ()
     text: str | None = None
     label: str | None = None
     min_df: int = 2
-    vocabulary: int = 20_000
-    stop_words: Sequence[str] = field(default_factory=tuple)
+    vocabulary: int = 2**31 - 1
+    #: Language whose stop words are left out before words are paired.
+    stop_words: str | None = None
 
 
 def fill_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
@@ -62,8 +65,11 @@ def fill_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return modes
 
 
-def feature_stages(spec: Features, scale: bool = True) -> list:
-    """Median imputation and scaling, one-hot categories, TF-IDF of words and word pairs."""
+def feature_stages(spec: Features, scale: bool = True, modes: dict[str, str] | None = None) -> list:
+    """Median imputation and scaling, one-hot categories, TF-IDF of words and word pairs at unit length.
+
+    ``modes`` fill missing categories in training and scoring alike.
+    """
     stages, parts = [], []
     if spec.numeric:
         imputed = [f"{c}__imp" for c in spec.numeric]
@@ -77,25 +83,35 @@ def feature_stages(spec: Features, scale: bool = True) -> list:
     if spec.categorical:
         index = [f"{c}__ix" for c in spec.categorical]
         hot = [f"{c}__hot" for c in spec.categorical]
+        filled = {c: f"{c}__fill" if c in (modes or {}) else c for c in spec.categorical}
+        if modes:
+            text = {c: str(m).replace("\\", "\\\\").replace("'", "\\'") for c, m in modes.items()}
+            added = ", ".join(f"coalesce(`{c}`, '{m}') AS `{c}__fill`" for c, m in text.items())
+            stages.append(SQLTransformer(statement=f"SELECT *, {added} FROM __THIS__"))
         # Unknown values go to an extra slot, which one-hot then drops: all zeros.
         stages += [
-            StringIndexer(inputCols=list(spec.categorical), outputCols=index, handleInvalid="keep"),
+            StringIndexer(inputCols=list(filled.values()), outputCols=index, handleInvalid="keep"),
             OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),
         ]
         parts += hot
     if spec.text:
+        words = "txt__words" if spec.stop_words else "txt__one"
+        stages.append(RegexTokenizer(inputCol=spec.text, outputCol=words, pattern=r"(?U)\b\w\w+\b", gaps=False))
+        if spec.stop_words:
+            stop = StopWordsRemover.loadDefaultStopWords(spec.stop_words)
+            stages.append(StopWordsRemover(inputCol=words, outputCol="txt__one", stopWords=stop))
         stages += [
-            RegexTokenizer(inputCol=spec.text, outputCol="txt__one", pattern=r"(?U)\b\w\w+\b", gaps=False),
             NGram(n=2, inputCol="txt__one", outputCol="txt__two"),
             SQLTransformer(statement="SELECT *, concat(txt__one, txt__two) AS txt__all FROM __THIS__"),
             CountVectorizer(inputCol="txt__all", outputCol="txt__tf", minDF=spec.min_df, vocabSize=spec.vocabulary),
-            IDF(inputCol="txt__tf", outputCol="txt__vec"),
+            IDF(inputCol="txt__tf", outputCol="txt__idf"),
+            Normalizer(inputCol="txt__idf", outputCol="txt__vec", p=2.0),
         ]
         parts.append("txt__vec")
     return [*stages, VectorAssembler(inputCols=parts, outputCol="features")]
 
 
-WORK = ("__imp", "__raw", "__vec", "__ix", "__hot", "txt__", "features", "rawPrediction")
+WORK = ("__imp", "__fill", "__raw", "__vec", "__ix", "__hot", "txt__", "features", "rawPrediction")
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -135,8 +151,8 @@ def train_classifier(
         labelCol=spec.label, featuresCol="features", weightCol="class_weight", numTrees=trees, maxDepth=depth, seed=seed
     )
     df = materialise(df)
-    known = df.na.fill(fill_modes(df, spec.categorical)) if spec.categorical else df
-    return Pipeline(stages=[*feature_stages(spec, scale=False), forest]).fit(weighted(known, spec.label))
+    stages = feature_stages(spec, scale=False, modes=fill_modes(df, spec.categorical))
+    return Pipeline(stages=[*stages, forest]).fit(weighted(df, spec.label))
 
 
 def train_logistic(df: DataFrame, spec: Features, iterations: int = 30) -> PipelineModel:

@@ -80,7 +80,8 @@ def train_text_classifier(t):
         "doc_id", "lang", "predicted_label", "confidence", "routing_team")
 
 
-CLUSTERS = M.Features(numeric=["n_chars"], categorical=["source", "lang"], text="text", vocabulary=500)
+CLUSTERS = M.Features(numeric=["n_chars"], categorical=["source", "lang"], text="text", min_df=1, stop_words="english",
+                     vocabulary=500)
 
 
 @query("cluster_sweep")

@@ -155,3 +155,22 @@ def test_suppression_is_the_same_in_one_batch_or_many(spark, tmp_path, files):
     sent = S.run_to_end(S.suppress_stream(items, ["k"], "ts"), "suppress")
     got = sent.select("k", ((F.unix_seconds("ts") - 1_700_000_000) / 60).cast("int").alias("m")).collect()
     assert sorted(map(tuple, got)) == [(k, m) for k in ("a", "b") for m in (0, 61, 122, 300, 361, 500)]
+
+
+def test_scoring_fills_missing_categories_with_the_training_mode(spark):
+    rows = [(i, float(i % 7), "it's" if i % 4 else "rare", i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, x double, kind string, label int")
+    spec = M.Features(numeric=["x"], categorical=["kind"], label="label")
+    model = M.train_classifier(df, spec, trees=5)
+    one = spark.createDataFrame([(1, 3.0, None), (2, 3.0, "it's")], "id int, x double, kind string")
+    got = {r["id"]: r["failure_probability"] for r in M.score_risk(model, one).collect()}
+    assert got[1] == got[2]
+
+
+def test_text_vectors_have_unit_length_and_no_stop_words(spark):
+    df = spark.createDataFrame([(1, "the disk is full and the disk fails"), (2, "the network is down")], "id int, t string")
+    fitted = M.Pipeline(stages=M.feature_stages(M.Features(text="t", min_df=1, stop_words="english"))).fit(df)
+    norms = fitted.transform(df).select(M.vector_to_array("txt__vec").alias("v")).collect()
+    assert [round(sum(x * x for x in r["v"]), 9) for r in norms] == [1.0, 1.0]
+    terms = {t for s in fitted.stages if hasattr(s, "vocabulary") for t in s.vocabulary}
+    assert "disk full" in terms and not {"the", "is", "and"} & terms
