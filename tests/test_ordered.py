@@ -76,11 +76,6 @@ def test_tail_without_a_full_horizon_is_zero(spark):
     assert [got[i] for i in range(20)] == [1] * 11 + [0] * 9
 
 
-def test_frame_must_fit_a_chunk(spark):
-    with pytest.raises(ValueError):
-        over_frames(frame(spark, series(10)), ["k"], ["ts", "id"], lambda w: {}, before=50, chunk=50)
-
-
 def test_running_sum_crosses_buckets(spark):
     rows = series()
     got = running_sum(frame(spark, rows), ["k"], ["ts", "id"], F.lit(1), "n", "7 minutes").toPandas().set_index("id")["n"]
