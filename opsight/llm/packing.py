@@ -1,14 +1,19 @@
 """Retrieval packing: documents that share rare words fill one another's training windows.
 
-Documents are dealt by hash to shards of about SHARD_CHARS code points. A shard's task encodes its documents, cuts what
-fills whole windows from the front of each, and builds a BM25 inverted index of the rest over token ids, with the shard's
-own document frequencies. Each seed in turn asks the index with its heaviest terms; the best unused neighbours fill its
-window. The neighbour that does not fit is cut, and what is left of it is the next seed, so that only a shard's last
-sequence is short; that one is cut at powers of two, which need no padding.
+1. Documents are encoded once and written. What fills whole windows is cut from the front of each; the rest is searched.
+2. BM25 statistics of the rests (document frequencies of token ids, number, mean length) are counted over all documents.
+3. A rest's place comes from its QUERY_TERMS heaviest terms that other rests have too: the two of them that come first in
+   a fixed mixed order (min-hashes), then the document's hash, so rests that share heavy terms lie near one another
+   whatever the size of the corpus. The line of places is cut into shards of about SHARD_CHARS code points; a term that
+   is in more rests than a shard holds is thus cut by the second term, and then by hash.
+4. A shard's task builds an inverted index of its rests, weighted with the statistics of all. Each seed in turn asks the
+   index with its heaviest terms; the best unused neighbours fill its window. The neighbour that does not fit is cut, and
+   what is left of it is the next seed, so that only a shard's last sequence is short; that one is cut at powers of two,
+   which need no padding.
 
 A document is its token ids and then the id END. Defined cases: a NULL or empty text is the single id END; rows that
 repeat a document are packed one by one; an empty table gives no pieces. Equal scores go to the earlier row of the
-shard's order (hash, document id), so that a task run again gives the same pieces.
+shard's order (place, hash, document id), so that a task run again gives the same pieces.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -23,12 +29,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from opsight.llm.common import slices, strings
+from opsight.llm.common import mix, slices, strings
+from opsight.session import materialise
 
 WINDOW, END = 2048, 1
 SHARD_CHARS, SHARD_TOKENS = 6_000_000, 6_000_000
 QUERY_TERMS, TOP = 24, 64
 K1, B = 1.2, 0.75
+#: Places read for each shard to find where the line is cut.
+SAMPLES = 50
 IDS = np.dtype("<u4")
 
 
@@ -54,6 +63,7 @@ class Encoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
+        self.kind = np.dtype("<u2") if len(self.last) <= 1 << 16 else IDS
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, IDS).tobytes()
@@ -92,19 +102,62 @@ def encoder(content: str) -> Encoder:
     return Encoder(content)
 
 
+@dataclass
+class Statistics:
+    """BM25 statistics of a collection: its document frequencies by token id, its number of pieces, their mean length."""
+
+    df: np.ndarray
+    n: int
+    mean: float
+
+    @classmethod
+    def of(cls, pieces: list[np.ndarray]) -> Statistics:
+        _, term, _ = postings(pieces)
+        return cls(np.bincount(term), len(pieces), sum(map(len, pieces)) / max(1, len(pieces)))
+
+    def weights(self, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        df = self.df[term]
+        norm = K1 * (1 - B + B * sizes / max(1.0, self.mean))
+        return (np.log1p((self.n - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32)
+
+
+def postings(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, term, frequency) of the distinct terms of each piece, ordered by term and piece."""
+    flat = np.concatenate(pieces).astype(np.int64) if pieces else np.zeros(0, np.int64)
+    key, tf = np.unique((flat << 32) | np.repeat(np.arange(len(pieces)), [len(p) for p in pieces]), return_counts=True)
+    return key & 0xFFFFFFFF, key >> 32, tf
+
+
+def places(pieces: list[np.ndarray], hashes: np.ndarray, known: Statistics) -> np.ndarray:
+    """Where each piece lies on the line that is cut into shards: 16 bits for each of two terms and 31 of its hash."""
+    doc, term, tf = postings(pieces)
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    weight = known.weights(doc, term, tf, sizes)
+    shared = known.df[term] > 1
+    doc, term, weight = doc[shared], term[shared], weight[shared]
+    order = np.lexsort((term, -weight, doc))
+    doc, term = doc[order], term[order]
+    heavy = np.arange(len(doc)) - np.searchsorted(doc, doc) < QUERY_TERMS
+    doc, term = doc[heavy], term[heavy]
+    code = (mix(term.astype(np.uint64) + np.uint64(1)) >> np.uint64(48)).astype(np.int64)
+    order = np.lexsort((code, doc))
+    doc, code = doc[order], code[order]
+    rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    found = hashes & 0x7FFFFFFF
+    for i, bits in enumerate((47, 31)):
+        on = rank == i
+        found[doc[on]] |= code[on] << bits
+    return found
+
+
 class Index:
-    """BM25 postings of a shard's pieces over token ids."""
+    """BM25 postings of a shard's pieces over token ids, weighted with the statistics of the whole collection."""
 
-    def __init__(self, pieces: list[np.ndarray]):
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.concatenate(pieces).astype(np.int64) if pieces else np.zeros(0, np.int64)
-        key, tf = np.unique((flat << 32) | np.repeat(np.arange(len(pieces)), sizes), return_counts=True)
-        self.doc, term = key & 0xFFFFFFFF, key >> 32
+    def __init__(self, pieces: list[np.ndarray], known: Statistics):
+        self.doc, term, tf = postings(pieces)
         self.terms, self.first, df = np.unique(term, return_index=True, return_counts=True)
         self.last = self.first + df
-        idf = np.log1p((len(pieces) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean() if len(sizes) else 1.0))
-        self.weight = (np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
+        self.weight = known.weights(self.doc, term, tf, np.fromiter(map(len, pieces), np.int64, len(pieces)))
         slot = np.repeat(np.arange(len(self.terms)), df)
         # A piece's own terms, heaviest first.
         order = np.lexsort((slot, -self.weight, self.doc))
@@ -170,18 +223,60 @@ def cut(parts: list[tuple[int, int, int]], window: int) -> Iterator[list[tuple[i
         yield out
 
 
-def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
+def rest(ids: np.ndarray, window: int) -> np.ndarray:
+    return ids[len(ids) // window * window:]
+
+
+def pack_shard(docs: list[np.ndarray], known: Statistics, window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences of a shard as lists of (document, start, length)."""
     heads = [len(d) // window * window for d in docs]
     for i, head in enumerate(heads):
         for start in range(0, head, window):
             yield [(i, start, window)]
-    rest = [d[h:] for d, h in zip(docs, heads)]
-    for parts in fill([len(r) for r in rest], Index(rest), window):
+    rests = [rest(d, window) for d in docs]
+    for parts in fill([len(r) for r in rests], Index(rests, known), window):
         for out in cut(parts, window):
             yield [(i, heads[i] + start, size) for i, start, size in out]
 
 
+def encoded(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFrame:
+    """key, h (hash of key and text), n (ids of the document) and ids (two bytes each where all fit, else four)."""
+    # The hash takes in the text, so that only rows equal in both could meet by more than chance.
+    read = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("h", F.xxhash64("key", "text"))
+    content = docs.sparkSession.sparkContext.broadcast(tokenizer)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(content.value)
+        for part in slices(batches):
+            found = encode(strings(part))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("key"), part.column("h"), pa.array(map(len, found), pa.int64()),
+                 pa.array([f.astype(encode.kind).tobytes() for f in found], pa.binary())], names=["key", "h", "n", "ids"])
+
+    return read.mapInArrow(run, read.select("key", "h").schema.add("n", "long").add("ids", "binary"))
+
+
+def token_ids(part: pa.RecordBatch, kind: np.dtype) -> list[np.ndarray]:
+    return [np.frombuffer(v, kind) for v in part.column("ids").to_pylist()]
+
+
+def statistics(rows: DataFrame, kind: np.dtype, terms: int, window: int) -> Statistics:
+    """Counted over all rows; at most one number for each token id comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(terms, np.int64)
+        for part in slices(batches, "ids"):
+            df += np.bincount(postings([rest(d, window) for d in token_ids(part, kind)])[1], minlength=terms)
+        on = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(on), pa.array(df[on])], names=["term", "df"])
+
+    found = rows.select("ids").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(terms, np.int64)
+    df[found.column("term").to_numpy()] = found.column("df").to_numpy()
+    n, mean = rows.agg(F.count("*"), F.avg(F.col("n") % window)).first()
+    return Statistics(df, n, mean or 0.0)
+
+
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Pieces of all documents: key, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
@@ -189,24 +284,46 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     """
     spark = docs.sparkSession
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
-    shards = max(1, -(-chars // SHARD_CHARS))
-    # The hash takes in the text, so that only rows equal in both could meet by more than chance.
-    dealt = docs.select(F.col(key).alias("key"), F.col(text).alias("text")) \
-        .withColumn("h", F.xxhash64("key", "text")).repartition(int(shards), "h").sortWithinPartitions("h", "key")
-    content = spark.sparkContext.broadcast(tokenizer)
+    shards = int(max(1, -(-chars // SHARD_CHARS)))
+    terms, kind = len(encoder(tokenizer).last), encoder(tokenizer).kind
+    rows = materialise(encoded(docs, tokenizer, key, text))
+    known = spark.sparkContext.broadcast(statistics(rows, kind, terms, window))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "ids"):
+            found = places([rest(d, window) for d in token_ids(part, kind)], part.column("h").to_numpy(), known.value)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], names=[*part.schema.names, "place"])
+
+    def placed(some: DataFrame) -> DataFrame:
+        return some.mapInArrow(place, some.select("*").schema.add("place", "long"))
+
+    # About SAMPLES documents a shard, chosen by hash, say where the line holds equal shares of all tokens.
+    step = max(1, known.value.n // (SAMPLES * shards))
+    sample = placed(rows.filter(F.pmod(F.xxhash64("h"), F.lit(step)) == 0)).select("place", "n").toArrow()         .sort_by([("place", "ascending"), ("n", "ascending")])
+    upto = np.cumsum(sample.column("n").to_numpy())
+    share = np.searchsorted(upto, np.arange(1, shards) * (upto[-1] / shards)) if len(upto) else np.zeros(0, np.int64)
+    bounds = sample.column("place").to_numpy()[share]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in place(batches):
+            found = np.searchsorted(bounds, part.column("place").to_numpy()).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], names=[*part.schema.names, "shard"])
+
+    dealt = rows.mapInArrow(deal, rows.select("*").schema.add("place", "long").add("shard", "integer")).repartitionById(shards, F.col("shard")) \
+        .sortWithinPartitions("shard", "place", "h", "key").select("key", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(content.value)
         number = (TaskContext.get().partitionId() << 32) - 1
         keys, held = [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal number
             rows = []
-            for parts in pack_shard(held, window):
+            for parts in pack_shard(held, known.value, window):
                 number, offset = number + 1, 0
                 for i, start, size in parts:
-                    rows.append((i, start, size, held[i][start:start + size].tobytes(), len(held[i]), number, offset))
+                    rows.append((i, start, size, held[i][start:start + size].astype(IDS).tobytes(), len(held[i]), number,
+                                 offset))
                     offset += size
                 if len(rows) >= 1000:
                     yield batch(rows)
@@ -218,14 +335,14 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
             i, *cols = zip(*rows)
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array([keys[k] for k in i], kind), *(pa.array(c, t) for c, t in zip(cols, kinds))],
+                [pa.array([keys[k] for k in i], key_kind), *(pa.array(c, t) for c, t in zip(cols, kinds))],
                 names=["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
-        kind, tokens = pa.int64(), 0
-        for part in slices(batches):
-            kind = part.schema.field("key").type
+        key_kind, tokens = pa.int64(), 0
+        for part in slices(batches, "ids"):
+            key_kind = part.schema.field("key").type
             keys += part.column("key").to_pylist()
-            found = encode(strings(part))
+            found = token_ids(part, kind)
             held += found
             tokens += sum(map(len, found))
             if tokens >= SHARD_TOKENS:  # a shard that came out too large is packed in parts

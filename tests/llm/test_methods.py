@@ -191,6 +191,34 @@ def test_packing(spark, texts):
     check_pieces(rows, ids)
 
 
+def test_packing_neighbours_meet_in_small_shards(spark, monkeypatch):
+    """Documents of one topic share windows however many shards there are, weighted with frequencies of all documents."""
+    r, vocabulary = random.Random(7), queries.word_list()[3000:9000]
+    topics = [r.sample(vocabulary, 40) for _ in range(60)]
+    rows = [(100 * t + i, " ".join(r.choices(topic, k=80))) for t, topic in enumerate(topics) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4, "doc_id")
+    chars = sum(len(t) for _, t in rows)
+    monkeypatch.setattr(packing, "SHARD_CHARS", chars // 20)
+    found = packing.pack(docs, queries.tokenizer(), window=256).collect()
+    windows = defaultdict(set)
+    for p in found:
+        windows[p["sequence_id"]].add(p["doc_id"] // 100)
+    assert len({w >> 32 for w in windows}) > 10
+    assert np.mean([len(w) for w in windows.values()]) < 1.8
+    covered = defaultdict(int)
+    for p in found:
+        covered[p["doc_id"]] += p["length"]
+    assert covered == {p["doc_id"]: p["doc_tokens"] for p in found} and len(covered) == len(rows)
+
+
+def test_packing_statistics_are_of_all_documents(spark):
+    docs = [np.array(d, "<u2") for d in ([5, 5, 6], [6, 7], [6], [])]
+    rows = spark.createDataFrame([(i, i, len(d), d.tobytes()) for i, d in enumerate(docs)],
+                                 "key long, h long, n long, ids binary").repartition(3, "key")
+    known = packing.statistics(rows, np.dtype("<u2"), 10, 2048)
+    assert known.df.tolist() == [0, 0, 0, 0, 0, 1, 3, 1, 0, 0] and (known.n, known.mean) == (4, 1.5)
+
+
 def check_pieces(rows, ids):
     covered, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
