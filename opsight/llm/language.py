@@ -1,8 +1,10 @@
 """Language identification by compression: the dictionary that encodes a text in the fewest bytes names its language.
 
 Every language has a zstandard raw-content dictionary, cut from a bounded sample of its learning rows. A text is encoded
-whole with each dictionary. The score is the share of bytes the best dictionary saves over the second best, from 0 to 1;
-a text is rejected when it has no letter or when that margin is narrower than `MARGIN`.
+whole with each dictionary, in blocks of BLOCK bytes that each start from the dictionary alone, as a dictionary saves only
+a bounded number of bytes in one piece; a language's size is the sum over all blocks, so that the margin does not shrink
+with the length. The score is the share of bytes the best dictionary saves over the second best, from 0 to 1; a text is
+rejected when it has no letter or when that margin is narrower than `MARGIN`.
 
 Defined cases: a NULL or empty text, or one without a letter, is `und` with score 0 and rejected. Equal sizes go to the
 language with more learning text, then to the first in the alphabet. Letters are compared in lower case. With one learned language the score is 1, with none every text is `und`.
@@ -24,6 +26,8 @@ LEVEL, SHORT, SHORT_LEVEL = 7, 200, 19
 #: The bounded sample: rows per language, code points kept of each of those rows, bytes of the dictionary.
 ROWS, CHARS, BYTES = 400, 2_000, 200_000
 MARGIN = 0.004
+#: Bytes encoded from a fresh dictionary; a shorter last block counts with the one before it.
+BLOCK = 50_000
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 FIELDS = {"lang_pred": pa.string(), "score": pa.float64(), "rejected": pa.bool_()}
@@ -71,7 +75,10 @@ class Judge:
         if not self.encoders[0] or not LETTER.search(text):
             return UNKNOWN, 0.0, True
         data = text.lower().encode()
-        sizes = sorted((len(e.compress(data)), rank, name) for rank, name, e in self.encoders[len(data) > SHORT])
+        edges = [*range(0, max(1, len(data) // BLOCK) * BLOCK, BLOCK), len(data)]
+        blocks = [data[a:b] for a, b in zip(edges, edges[1:])]
+        sizes = sorted((sum(len(e.compress(b)) for b in blocks), rank, name)
+                       for rank, name, e in self.encoders[len(data) > SHORT])
         margin = 1 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
         return sizes[0][2], margin, margin < MARGIN
 

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsight.llm import extract, fingerprint, mixing, near, packing, queries, secrets, tokens, toxicity
+from opsight.llm import extract, fingerprint, language, mixing, near, packing, queries, secrets, tokens, toxicity
 from opsight.llm.common import table
 from tests.conftest import SF_DIR
 
@@ -130,6 +130,22 @@ def test_language_held_out(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.9 * len(held)
 
 
+def test_language_of_long_texts(spark):
+    """The margin of a clear text is as wide at several million characters as at some thousands."""
+    docs = table(spark, SF_DIR, "documents")
+    judge = language.Judge(language.learn(docs.filter("doc_id % 2 = 0")))
+    pool = [r["text"] for r in docs.filter("doc_id % 2 = 1 AND lang = 'en'").collect()]
+    r = random.Random(2)
+    words_of = [w for t in pool for w in t.split()]
+    scores = []
+    for n in (50_000, 5_000_000):
+        text = " ".join(r.choices(words_of, k=n // 5))
+        name, score, rejected = judge(text)
+        assert (name, rejected) == ("en", False)
+        scores.append(score)
+    assert scores[1] > 0.5 * scores[0]
+
+
 def test_counterfactual_penalty():
     """Group names that go with toxic rows by chance lose their weight; insults keep theirs."""
     r = random.Random(1)
