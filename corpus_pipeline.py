@@ -18,8 +18,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the least id."""
-    return near.keep_one(docs)
+    """One document of each class of near duplicates (a similarity of 0.80 or more): the one with the least id."""
+    return near.keep_one(docs, percent=80)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

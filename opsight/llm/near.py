@@ -6,10 +6,11 @@ A document's set holds its distinct 5-word shingles (A-Z lowered, words `[^\\x20
 2. Each node's sketch has M registers. A register is the least of exponential draws over the set's shingles, on the scale
    of powers of BASE and truncated; sketches of two sets merge by the maximum. Draws of a shingle come in rising order and
    end where no register can still change.
-3. Of the first BANDS * BAND registers, every BAND make a key; nodes that share a key share a bucket. At a similarity of
-   0.85 a pair shares none of the 32 keys with a chance of 6e-11. Each bucket pairs its least node with the others; pairs
-   whose likelihood estimate from both sketches and both set sizes lies below DROP are let go (4.7 standard errors below
-   the bound), the rest are confirmed on the words themselves, in groups of about TEXTS texts.
+3. Of the first bands * BAND registers, every BAND make a key; nodes that share a key share a bucket. A pair at the bound
+   of similarity shares none of the keys with a chance of 1e-10 at most (32 keys at 0.85, 44 at 0.80). Each bucket pairs
+   its least node with the others; pairs whose likelihood estimate from both sketches and both set sizes lies below `drop`
+   are let go (4.7 standard errors below the bound), the rest are confirmed on the words themselves, in groups of about
+   TEXTS texts.
 4. Buckets whose members are not yet of one class are compared in full, block against block of about BLOCK sketches, but
    never within the bucket's largest class, and a pair only in the first of the buckets it shares. No task holds a bucket
    and no pair is written before its estimate.
@@ -23,6 +24,9 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
+from math import ceil, comb, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +36,55 @@ from opsight.llm.common import mix, raw, slices, window_hashes, word_hashes
 from opsight.session import materialise
 
 SHINGLE = 5
-LINK_PERCENT = 85
-M, BANDS, BAND = 256, 32, 4
+#: The similarity from which two documents are linked unless a caller asks for another, in percent.
+PERCENT = 80
+M, BAND = 256, 4
 BASE, RATE, TOP = 1.02, 20.0, 4095
-DROP = 0.745
 BLOCK, TEXTS = 1024, 128
 #: Pairs whose estimates are worked out at once.
 PAIRS = 4096
-#: Step 4 first counts equal low bytes of FEW registers (a link falls below FEW_EQUAL with a chance of 1e-7), and uses the
-#: buckets of the first RETRY bands (a link shares none of them with a chance of 8e-6).
-FEW, FEW_EQUAL, RETRY = 64, 38, 16
+#: Step 4 first counts equal low bytes of FEW registers.
+FEW = 64
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
+@dataclass(frozen=True)
+class Bound:
+    """The similarity of a link in percent, and what the steps derive from it."""
+
+    percent: int = PERCENT
+
+    def __post_init__(self):
+        if not 0 < self.percent < 100 or self.bands * BAND > M:
+            raise ValueError(f"sketches of {M} registers are too short for a similarity of {self.percent} percent")
+
+    def keys(self, chance: float) -> int:
+        """Bands of which a link shares none with this chance at most."""
+        return ceil(log(chance) / log(1 - (self.percent / 100) ** BAND))
+
+    @cached_property
+    def bands(self) -> int:
+        return self.keys(1e-10)
+
+    @cached_property
+    def retry(self) -> int:
+        """The bands whose buckets step 4 uses."""
+        return self.keys(1e-5)
+
+    @cached_property
+    def drop(self) -> float:
+        j = self.percent / 100
+        return j - 4.7 * sqrt(j * (1 - j) / M)
+
+    @cached_property
+    def few_equal(self) -> int:
+        """A link has fewer equal registers among FEW with a chance of 2e-7 at most."""
+        j, below, n = self.percent / 100, 0.0, 0
+        while (below := below + comb(FEW, n) * j ** n * (1 - j) ** (FEW - n)) <= 2e-7:
+            n += 1
+        return n
+
+
 def times(n: int) -> np.uint64:
     return np.uint64(int(GOLD) * n & (1 << 64) - 1)
 
@@ -86,12 +126,12 @@ def registers(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     return np.clip(scaled, 0, TOP).astype(np.uint16).reshape(n, M)
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
+def band_keys(regs: np.ndarray, bands: int) -> np.ndarray:
     """One 64-bit key for every BAND registers, different for each band."""
-    packed = np.zeros((len(regs), BANDS), np.uint64)
+    packed = np.zeros((len(regs), bands), np.uint64)
     for i in range(BAND):
-        packed = (packed << np.uint64(16)) | regs[:, i:BANDS * BAND:BAND].astype(np.uint64)
-    return mix(mix(packed) + GOLD * np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64)
+        packed = (packed << np.uint64(16)) | regs[:, i:bands * BAND:BAND].astype(np.uint64)
+    return mix(mix(packed) + GOLD * np.arange(1, bands + 1, dtype=np.uint64)).view(np.int64)
 
 
 def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -110,16 +150,16 @@ def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
     return j[value.argmax(axis=1)]
 
 
-def likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+def likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, bound: Bound) -> np.ndarray:
     """Pairs that may be linked: sizes allow it (exact), and the estimate does not speak against it."""
-    fits = 100 * np.minimum(na, nb) >= LINK_PERCENT * np.maximum(na, nb)
-    # Fewer equal registers than this never give an estimate of DROP; the likelihood need not be asked.
-    fits[fits] = (a[fits] == b[fits]).sum(axis=1) >= (DROP - 0.03) * M
-    fits[fits] = similarity(a[fits], b[fits], na[fits], nb[fits]) >= DROP
+    fits = 100 * np.minimum(na, nb) >= bound.percent * np.maximum(na, nb)
+    # Fewer equal registers than this never give an estimate of `drop`; the likelihood need not be asked.
+    fits[fits] = (a[fits] == b[fits]).sum(axis=1) >= (bound.drop - 0.03) * M
+    fits[fits] = similarity(a[fits], b[fits], na[fits], nb[fits]) >= bound.drop
     return fits
 
 
-def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: int = Bound().bands) -> DataFrame:
     """Per row: id, n_shingles, the set's two sums s1 and s2, registers (little-endian 16 bit), band keys."""
     read = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
 
@@ -135,7 +175,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 np.cumsum(mix(found + times(salt)), out=total[1:])
                 sums.append((total[edge[1:]] - total[edge[:-1]]).view(np.int64))
             regs = registers(owner, found, n)
-            keys = [k if s else [] for k, s in zip(band_keys(regs), sizes)]
+            keys = [k if s else [] for k, s in zip(band_keys(regs, bands), sizes)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(sizes, pa.int64()), *(pa.array(s, pa.int64()) for s in sums),
                  pa.array([r.tobytes() for r in regs], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
@@ -149,18 +189,18 @@ def _regs(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, M)
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, nodes: DataFrame, bound: Bound) -> DataFrame:
     """The pairs (a, b) that may be linked."""
     side = lambda c: nodes.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("regs").alias(f"r{c}"))
     both = pairs.join(side("b"), "b").filter("b IS NOT NULL").join(side("a"), "a") \
-        .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * LINK_PERCENT)
+        .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * bound.percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, PAIRS):
                 p = batch.slice(start, PAIRS)
                 sizes = (p.column(c).to_numpy() for c in ("na", "nb"))
-                on = pa.array(likely(_regs(p.column("ra")), _regs(p.column("rb")), *sizes))
+                on = pa.array(likely(_regs(p.column("ra")), _regs(p.column("rb")), *sizes, bound))
                 yield pa.RecordBatch.from_arrays([p.column("a").filter(on), p.column("b").filter(on)], names=["a", "b"])
 
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, pairs.select("a", "b").schema).distinct()
@@ -173,7 +213,7 @@ def word_sets(text: bytes) -> set[bytes]:
     return {b" ".join(words[i:i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
 
 
-def _verify(table: pa.Table) -> pa.Table:
+def _verify(table: pa.Table, percent: int) -> pa.Table:
     """Links of one group: one node `a` and some of its partners, by their texts."""
     ids, texts = table.column("id").to_pylist(), table.column("t").cast(pa.binary()).to_pylist()
     own = [word_sets(t or b"") for t, side in zip(texts, table.column("pivot").to_pylist()) if side]
@@ -183,22 +223,26 @@ def _verify(table: pa.Table) -> pa.Table:
             other = word_sets(t or b"")
             for one in own:
                 shared = len(one & other)
-                if shared and 100 * shared >= LINK_PERCENT * (len(one) + len(other) - shared):
+                if shared and 100 * shared >= percent * (len(one) + len(other) - shared):
                     found.add(i)
     a = table.column("a").to_pylist()[:1] * len(found)
     kind = table.schema.field("a").type
     return pa.table({"a": pa.array(a, kind), "b": pa.array(sorted(found), kind)})
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, bound: Bound) -> DataFrame:
     """The pairs whose full sets are linked. A node's partners are split into groups of about TEXTS texts."""
     size = pairs.groupBy("a").agg(F.ceil(F.count("*") / TEXTS).alias("groups"))
     dealt = pairs.join(size, "a").withColumn("g", F.pmod(F.xxhash64("b"), F.col("groups")))
     ends = dealt.select(F.col("b").alias("id"), "a", "g", F.lit(False).alias("pivot")).unionByName(
         dealt.select(F.col("a").alias("id"), "a", "g", F.lit(True).alias("pivot")).distinct())
-    kind = dict(pairs.dtypes)["a"]
+    kind, percent = dict(pairs.dtypes)["a"], bound.percent
+
+    def verify(table: pa.Table) -> pa.Table:
+        return _verify(table, percent)
+
     return texts.join(ends, "id").select("a", "g", "id", "pivot", "t").groupBy("a", "g") \
-        .applyInArrow(_verify, f"a {kind}, b {kind}")
+        .applyInArrow(verify, f"a {kind}, b {kind}")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -219,9 +263,9 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, bound: Bound) -> DataFrame:
     """Pairs of different classes in buckets of three nodes or more, by estimate; the largest class is spared."""
-    named = buckets.filter(F.col("band") < RETRY).select("key", "band", "id").join(labels, "id", "left").select(
+    named = buckets.filter(F.col("band") < bound.retry).select("key", "band", "id").join(labels, "id", "left").select(
         "key", "band", "id", F.coalesce("label", "id").alias("label"))
     parts = named.groupBy("key", "label").agg(F.count("*").alias("n"))
     split = parts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"),
@@ -237,7 +281,7 @@ def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
                                        .otherwise(F.sequence(F.lit(0), F.col("outs") - 1)))) \
         .select("key", "band", "id", "label", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     full = placed.join(nodes.select("id", "n_shingles", "regs"), "id")
-    kind = dict(nodes.dtypes)["id"]
+    kind, bands, few_equal = dict(nodes.dtypes)["id"], bound.bands, bound.few_equal
 
     def compare(table: pa.Table) -> pa.Table:
         ids, label = np.array(table.column("id").to_pylist()), np.array(table.column("label").to_pylist())
@@ -250,13 +294,13 @@ def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
 
         def judge() -> None:
             i, j = np.concatenate(first), np.concatenate(second)
-            on = (regs[j, :BANDS * BAND] == regs[i, :BANDS * BAND]).reshape(-1, BANDS, BAND).all(axis=2).argmax(axis=1) == band
+            on = (regs[j, :bands * BAND] == regs[i, :bands * BAND]).reshape(-1, bands, BAND).all(axis=2).argmax(axis=1) == band
             i, j = i[on], j[on]
-            on = likely(regs[i], regs[j], n[i], n[j])
+            on = likely(regs[i], regs[j], n[i], n[j], bound)
             found.extend((min(p, q), max(p, q)) for p, q in zip(ids[i[on]], ids[j[on]]))
 
         for i in left:
-            j = right[(label[right] != label[i]) & ((others == low[i]).sum(axis=1, dtype=np.uint8) >= FEW_EQUAL)]
+            j = right[(label[right] != label[i]) & ((others == low[i]).sum(axis=1, dtype=np.uint8) >= few_equal)]
             j = j[j > i] if same else j
             if len(j):
                 first.append(np.full(len(j), i))
@@ -275,9 +319,13 @@ def _unresolved(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
     return full.groupBy("key", "x", "y").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key, n_shingles, component_id (the least key of the row's class) and kept (it is that key)."""
-    rows = materialise(sketches(docs, key, text))
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """Key, n_shingles, component_id (the least key of the row's class) and kept (it is that key).
+
+    Documents of a Jaccard similarity of `percent` or more are linked.
+    """
+    bound = Bound(percent)
+    rows = materialise(sketches(docs, key, text, bound.bands))
     usable = rows.filter("n_shingles > 0 AND id IS NOT NULL")
     nodes_of = materialise(usable.groupBy("s1", "s2").agg(F.min("id").alias("node")))
     nodes = materialise(usable.join(nodes_of.select(F.col("node").alias("id"), "s1", "s2"), ["id", "s1", "s2"], "left_semi")
@@ -287,20 +335,20 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     buckets = materialise(bands.join(shared.select("key", "first"), "key"))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
     pairs = materialise(_estimated(
-        buckets.filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), nodes))
-    links = materialise(_confirmed(pairs, texts))
+        buckets.filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), nodes, bound))
+    links = materialise(_confirmed(pairs, texts, bound))
     labels = components(links)
-    more = materialise(_unresolved(buckets, labels, nodes).join(pairs, ["a", "b"], "left_anti"))
+    more = materialise(_unresolved(buckets, labels, nodes, bound).join(pairs, ["a", "b"], "left_anti"))
     if more.limit(1).count():
-        labels = components(links.unionByName(_confirmed(more, texts)))
+        labels = components(links.unionByName(_confirmed(more, texts, bound)))
     found = rows.join(nodes_of, ["s1", "s2"], "left").join(labels.select(F.col("id").alias("node"), "label"), "node", "left")
     least = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")).otherwise(F.col("id"))
     return found.select(F.col("id").alias(key), "n_shingles", F.when(F.col("id").isNotNull(), least).alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The row with the least key of each class, all columns; rows without key stay."""
-    kept = classes(docs, key, text).filter(F.col("kept") & F.col(key).isNotNull()).select(key).distinct()
+    kept = classes(docs, key, text, percent).filter(F.col("kept") & F.col(key).isNotNull()).select(key).distinct()
     return docs.filter(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns) \
         .unionByName(docs.filter(F.col(key).isNull()))

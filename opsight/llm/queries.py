@@ -44,7 +44,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.classes(table(spark, sf_dir, "documents"))
+    return near.classes(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,6 +97,19 @@ def test_near_chains(spark):
     assert set(found.values()) == {0, 50}
 
 
+def test_near_bound_of_the_stage_and_of_the_query(spark):
+    """A pair at 0.82 is one class for the pipeline's stage and two at the query's 0.85."""
+    base = [f"w{i}" for i in range(240)]
+    rows = [(1, " ".join(base[:204])), (2, " ".join(base[20:224]))]
+    a, b = (near.word_sets(t.encode()) for _, t in rows)
+    assert 0.81 < len(a & b) / len(a | b) < 0.83
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs, SF_DIR).collect()} == {1}
+    assert {r["component_id"] for r in near.classes(docs, percent=85).collect()} == {1, 2}
+    bound = near.Bound(85)
+    assert (bound.bands, bound.retry, bound.few_equal, round(bound.drop, 3)) == (32, 16, 38, 0.745)
+
+
 def test_sketches_merge_and_estimate():
     r = random.Random(5)
     a = [r.getrandbits(63) for _ in range(3000)]
