@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -56,7 +57,8 @@ def vector_topk(
     The base table is read in place: each task multiplies its Arrow batches with the query
     block and keeps its own best ``k`` per query, so only ``k`` rows per query and task are
     shuffled for the final ranking. Queries beyond one block go in further passes over the
-    base, which bounds what a task holds.
+    base, which bounds what a task holds. Every row of ``queries`` is searched; rows that share
+    an id, NULL included, are ranked together.
     """
     ids = queries.select(query_id, vector)
     id_type, base_type = queries.schema[query_id].dataType, base.schema[base_id].dataType
@@ -67,16 +69,9 @@ def vector_topk(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    parts, last = [], None
-    while True:
-        page = ids if last is None else ids.filter(F.col(query_id) > last)
-        rows = page.orderBy(query_id).limit(block).collect()
-        if not rows:
-            break
-        last = rows[-1][0]
-        parts.append(base.select(base_id, vector).mapInPandas(_scorer(rows, k, base_id, vector), schema))
-        if len(rows) < block:
-            break
+    parts, rows = [], ids.toLocalIterator()
+    while page := list(islice(rows, block)):
+        parts.append(base.select(base_id, vector).mapInPandas(_scorer(page, k, base_id, vector), schema))
     if not parts:
         return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
     scored = parts[0]
@@ -117,7 +112,7 @@ def _scorer(rows, k: int, base_id: str, vector: str):
                 }
             )
             merged = found if best is None else pd.concat([best, found])
-            best = merged.sort_values(["distance", base_id]).groupby("query_id", sort=False).head(k)
+            best = merged.sort_values(["distance", base_id]).groupby("query_id", sort=False, dropna=False).head(k)
         if best is not None:
             yield best
 

@@ -253,3 +253,15 @@ def test_audit_entry_with_absent_parts(spark):
     entry = df.select(F.from_json("j", Z.AUDIT_ENTRY).alias("e")).select("e.*")
     r = Z.audit_risk(entry).collect()[0]
     assert (r["principal"], r["status_code"], r["risk_score"], r["denied_permissions"]) == ("UNKNOWN", 0, 40, "")
+
+
+def test_topk_searches_repeated_and_null_ids(spark):
+    """Queries that share an id across a block's edge are all searched, and NULL ids do not stop the search from ending."""
+    from opsight.operators.retrieval import vector_topk
+
+    unit = lambda i: [float(i == j) for j in range(4)]
+    base = spark.createDataFrame([(i, unit(i)) for i in range(4)], "vec_id long, embedding array<double>")
+    queries = spark.createDataFrame([(q, unit(i)) for i, q in enumerate([2, 2, None, 5])],
+                                    "query_id long, embedding array<double>").coalesce(1)
+    found = vector_topk(queries, base, 2, block=2).filter("distance < 0.5").collect()
+    assert {(r["query_id"], r["vec_id"]) for r in found} == {(2, 0), (2, 1), (None, 2), (5, 3)}
