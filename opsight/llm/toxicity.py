@@ -25,8 +25,8 @@ from opsight.llm.common import slices, strings
 from opsight.llm.linear import Sparse, fit, sigmoid
 from opsight.llm.quality import labelled_sample
 
-#: The bounded sample of labelled rows, and how many rewritten sentences it may add.
-SAMPLE_ROWS, SWAPS = 8_000, 20_000
+#: The bounded sample of labelled rows.
+SAMPLE_ROWS = 8_000
 MIN_TEXTS = 8
 #: A word is a feature if its count in toxic and other rows departs from chance by this likelihood ratio (G squared).
 EVIDENCE = 15.0
@@ -85,11 +85,13 @@ def learn(rows: list[tuple[str, int]], groups=GROUPS, balance: float = BALANCE,
     share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6))
     if y.min() == y.max():
         return Model({}, float(np.log(share / (1 - share))))
-    pairs = [p for t, _ in rows for p in swaps(t, groups)][:SWAPS]
+    # Only the words in which a pair differs enter the penalty; equal differences are one row with its count.
+    pairs = Counter((tuple(sorted(set(a) - set(b))), tuple(sorted(set(b) - set(a))))
+                    for t, _ in rows for a, b in swaps(t, groups))
     df = Counter(w for s in sets for w in s)
     toxic = Counter(w for s, label in zip(sets, y) if label for w in s)
     words = sorted({w for w, n in df.items() if n >= min_texts and evidence(toxic[w], n, int(y.sum()), len(y)) >= EVIDENCE}
-                   | {w for p in pairs for w in set(p[0]) ^ set(p[1])})
+                   | {w for p in pairs for side in p for w in side})
     number = {w: i for i, w in enumerate(words)}
 
     def sparse(parts: list[list[tuple[str, float]]]) -> Sparse:
@@ -97,7 +99,9 @@ def learn(rows: list[tuple[str, int]], groups=GROUPS, balance: float = BALANCE,
         r, c, v = zip(*flat) if flat else ((), (), ())
         return Sparse(np.array(r, np.int64), np.array(c, np.int64), np.array(v, float), len(parts), len(words))
 
-    diffs = [[(w, 1.0) for w in set(a) - set(b)] + [(w, -1.0) for w in set(b) - set(a)] for a, b in pairs]
+    # The penalty is a mean over rows of squares, so this factor makes it the mean over all pairs.
+    factor = {p: (n * len(pairs) / pairs.total()) ** 0.5 for p, n in pairs.items()}
+    diffs = [[(w, v) for w in a] + [(w, -v) for w in b] for (a, b), v in factor.items()]
     w, b = fit(sparse([[(x, 1.0) for x in s] for s in sets]), y, l2, steps=250, pairs=sparse(diffs), pair_weight=balance)
     return Model({word: float(v) for word, v in zip(words, w) if abs(v) > 1e-9}, b)
 

@@ -172,6 +172,16 @@ def test_counterfactual_penalty():
     assert gap(held) < 0.3 * gap(plain) and held.weights["moron"] > 1
 
 
+def test_counterfactual_pairs_of_late_rows():
+    """A group named only after 20,000 pairs of other groups loses its weight like the first ones."""
+    r = random.Random(4)
+    early = [(f"{r.choice(['sun', 'road', 'lamp'])} women. " * 40, i % 2) for i in range(80)]
+    late = [(f"{r.choice(['sun', 'road', 'lamp'])} {'muslim' if i % 2 else 'christian'}.", i % 2) for i in range(400)]
+    gap = lambda m: m.weights.get("muslim", 0) - m.weights.get("christian", 0)
+    assert sum(len(toxicity.swaps(t)) for t, _ in early) > 20_000
+    assert gap(toxicity.learn(early + late)) < 0.6 * gap(toxicity.learn(early + late, balance=0.0))
+
+
 def test_greedy_pieces():
     r = random.Random(3)
     pieces = sorted({"".join(r.choices("abc", k=r.randint(1, 5))) for _ in range(30)} | {"▁", "▁a", "▁ab"})
