@@ -8,7 +8,8 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from opsight.llm import extract, fingerprint, language, mixing, near, packing, quality, secrets, tokens, toxicity
+from opsight.llm import (extract, fingerprint, language, mixing, near, negatives, packing, quality, runs, secrets, tokens,
+                         toxicity)
 from opsight.llm.common import in_fold, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -99,5 +100,39 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), mix_levels())
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th row; labels of every seventh are moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+ORACLE_SQL["op12_negatives"] = """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) AS INTEGER) AS rank,
+       s.other AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) <= 3
+"""
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in all documents, of which those whose key's crc32 ends in 0 are made periodic first."""
+    return runs.find(table(spark, sf_dir, "documents"), prepare=runs.periodic)
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_secrets, op4_near, op5_extract, op6_language, op7_tokens,
-                                   op8_fingerprint, op9_packing, op10_mixing)}
+                                   op8_fingerprint, op9_packing, op10_mixing, op12_negatives, op13_runs)}
