@@ -8,8 +8,8 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from opsight.llm import (extract, fingerprint, language, mixing, near, negatives, packing, quality, runs, secrets, tokens,
-                         toxicity)
+from opsight.llm import (extract, fingerprint, language, mixing, near, negatives, packing, quality, runs, scoring, secrets,
+                         tokens, toxicity)
 from opsight.llm.common import in_fold, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -100,6 +100,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), mix_levels())
 
 
+def op11_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; learns from those outside the held-out fold."""
+    held = in_fold(F.col("doc_id"), 7, 2)
+    return scoring.score(table(spark, sf_dir, "documents"), ~held).withColumn("held_out", ~F.col("learnt")).drop("learnt")
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every 50th row; labels of every seventh are moved on by one first."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -135,4 +141,4 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_secrets, op4_near, op5_extract, op6_language, op7_tokens,
-                                   op8_fingerprint, op9_packing, op10_mixing, op12_negatives, op13_runs)}
+                                   op8_fingerprint, op9_packing, op10_mixing, op11_scoring, op12_negatives, op13_runs)}
