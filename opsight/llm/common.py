@@ -70,30 +70,46 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words `[^\\x20\\x09-\\x0D]+` of the texts in order, and the number of words of each text.
+def span_hashes(part: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes from `first` to before `last`.
 
-    Every byte adds its own constant times a power of an odd base, so that sums between two places of a running total
-    give a word's polynomial, whatever lies before it.
+    Every byte adds its own constant times a power of an odd base, so that sums between two places of a running total give
+    a span's polynomial, whatever lies before it.
     """
-    whole = b"\n".join(texts)
-    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-    hashes, starts, at = [], [], 0
+    up, down = _powers(len(part))
+    total = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum(mix(np.arange(1, 257, dtype=np.uint64))[part] * up, out=total[1:])
+    return mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
+
+
+def parts_of(whole: bytes) -> Iterator[tuple[int, int]]:
+    """(start, end) of consecutive parts of about BYTES_PER_SLICE, cut at white space."""
+    at = 0
     while at < len(whole):
         stop = at + BYTES_PER_SLICE
         if stop < len(whole):
             found = SPACE.search(whole, stop)
             stop = found.start() if found else len(whole)
+        yield at, min(stop, len(whole))
+        at = stop
+
+
+def word_spans(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words `[^\\x20\\x09-\\x0D]+` begin and end."""
+    gap = np.concatenate([[True], _GAP[part], [True]])
+    return np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words `[^\\x20\\x09-\\x0D]+` of the texts in order, and the number of words of each text."""
+    whole = b"\n".join(texts)
+    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+    hashes, starts = [], []
+    for at, stop in parts_of(whole):
         part = np.frombuffer(whole[at:stop], np.uint8)
-        gap = np.concatenate([[True], _GAP[part], [True]])
-        first = np.flatnonzero(gap[:-1] & ~gap[1:])
-        last = np.flatnonzero(~gap[:-1] & gap[1:])
-        up, down = _powers(len(part))
-        total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(mix(np.arange(1, 257, dtype=np.uint64))[part] * up, out=total[1:])
-        hashes.append(mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64)))
+        first, last = word_spans(part)
+        hashes.append(span_hashes(part, first, last))
         starts.append(first + at)
-        at = stop
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     upto = np.searchsorted(np.concatenate(starts), ends)

@@ -19,7 +19,6 @@ shard's order (place, hash, document id), so that a task run again gives the sam
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,11 +28,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from opsight.llm.common import mix, slices, strings
+from opsight.llm.common import mix, parts_of, raw, slices, span_hashes, word_spans
 from opsight.session import materialise
 
 WINDOW, END = 2048, 1
 SHARD_CHARS, SHARD_TOKENS = 6_000_000, 6_000_000
+#: What a document weighs in a shard beside its text, so that many short or empty ones are also dealt out.
+DOC_CHARS, DOC_TOKENS = 100, 25
 QUERY_TERMS, TOP = 24, 64
 K1, B = 1.2, 0.75
 #: Places read for each shard to find where the line is cut.
@@ -41,18 +42,36 @@ SAMPLES = 50
 IDS = np.dtype("<u4")
 
 
+#: What a byte can be: white space, a letter of A-Z in either case, a sign, or anything else.
+GAP, LETTER, SIGN, OTHER = range(4)
+
+
+def _byte_table() -> tuple[np.ndarray, np.ndarray]:
+    kind, lower = np.full(256, OTHER, np.uint8), np.arange(256, dtype=np.uint8)
+    kind[[9, 10, 11, 12, 13, 32]] = GAP
+    for c in range(33, 127):
+        if chr(c).isalpha():
+            kind[c], lower[c] = LETTER, ord(chr(c).lower())
+        elif not chr(c).isdigit() and chr(c) != "'":  # an apostrophe joins some endings, so it stays with its word
+            kind[c] = SIGN
+    return kind, lower
+
+
+KIND, LOWER = _byte_table()
+#: Two-byte letters of Latin-1: their first byte, and the second bytes of the two signs among them.
+LATIN, LATIN_SIGNS = 0xC3, (0x97, 0xB7)
+
+
 class Encoder:
-    """Token ids of texts, worked out once for each word.
+    """Token ids of texts, worked out once for each piece of a word.
 
     The tokenizer lowers case, drops white space and cuts between letters and signs, so the ids of a text are those of its
-    words in turn, and a word of plain letters with signs after it is its letters' ids and the signs'. The letters still
-    unknown are encoded in one go: each such run ends with the one token that carries the end mark. Texts with the control
-    characters that Python alone takes for white space are encoded whole.
+    pieces in turn. A word of Latin letters and signs is cut into runs of either; any other word is one piece. The runs of
+    letters still unknown are encoded in one go: each ends with the one token that carries the end mark. Known pieces are
+    kept under 64-bit hashes, sorted, with the place of their ids in a pool that starts with END.
     """
 
-    ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")  # no apostrophe: it joins some endings
-    WORDS = 800_000
+    PIECES, AT_ONCE = 2_000_000, 5_000
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,38 +81,95 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
         self.kind = np.dtype("<u2") if len(self.last) <= 1 << 16 else IDS
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, IDS).tobytes()
-
-    def learn(self, missing: list[str]) -> None:
-        plain = {w: (m[1].lower(), m[2]) for w in missing if (m := self.PLAIN.fullmatch(w))}
-        cores = sorted({core for core, _ in plain.values()} - self.words.keys())
-        for start in range(0, len(cores), 5000):
-            part = cores[start:start + 5000]
-            ids = np.frombuffer(self.whole(" ".join(part)), IDS)
-            edge = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
-            data = ids.tobytes()
-            for core, a, b in zip(part, edge, edge[1:], strict=False):
-                self.words[core] = data[a:b]
-        for sign in {sign for _, sign in plain.values()} - self.words.keys():
-            self.words[sign] = self.whole(sign)
-        for word, (core, sign) in plain.items():
-            self.words[word] = self.words[core] + self.words[sign]
-        rest = [w for w in missing if w not in plain]
-        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.words[word] = np.array(found.ids, IDS).tobytes()
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [None if any(c in t for c in self.ODD) else t.split() for t in texts]
-        if len(self.words) > self.WORDS:
-            self.words.clear()
-        self.learn(sorted(set().union(*(w for w in split if w)) - self.words.keys()))
-        get, end = self.words.__getitem__, np.array([END], IDS).tobytes()
-        return [np.frombuffer((self.whole(text) if words is None else b"".join(map(get, words))) + end, IDS)
-                for text, words in zip(texts, split)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.place, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.full(1 << 16, END, self.kind), 1
+
+    def _pieces(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The part's bytes in lower case, where its pieces begin and end, and which are runs of letters."""
+        kind, lower = KIND[part], LOWER[part]
+        pair = np.flatnonzero((part[:-1] == LATIN) & ~np.isin(part[1:], LATIN_SIGNS))
+        kind[pair] = kind[pair + 1] = LETTER
+        high = pair[part[pair + 1] < 0x9F] + 1
+        lower[high] += 0x20
+        first, last = word_spans(part)
+        other = np.concatenate([[0], np.cumsum(kind == OTHER)])
+        whole = other[last] > other[first]
+        # Within the other words a run begins where the kind changes.
+        owner = np.zeros(len(part) + 1, np.int64)
+        owner[first], owner[last] = 1, -1
+        inside = np.cumsum(owner)[:-1] > 0
+        mixed = np.zeros(len(part) + 1, np.int64)
+        mixed[first[whole]], mixed[last[whole]] = 1, -1
+        change = np.zeros(len(part), bool)
+        change[1:] = (kind[1:] != kind[:-1]) & inside[1:] & inside[:-1] & (np.cumsum(mixed)[1:-1] == 0)
+        cut = np.flatnonzero(change)
+        begin, end = np.sort(np.concatenate([first, cut])), np.sort(np.concatenate([last, cut]))
+        return lower, begin, end, (kind[begin] == LETTER) & (np.cumsum(mixed)[begin] == 0)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes], letters: np.ndarray) -> None:
+        """Adds unknown pieces, given in the order of their hashes."""
+        found: list = [None] * len(pieces)
+        plain = np.flatnonzero(letters).tolist()
+        for start in range(0, len(plain), self.AT_ONCE):
+            some = plain[start:start + self.AT_ONCE]
+            ids = np.array(self.tokenizer.encode(b" ".join([pieces[i] for i in some]).decode(), add_special_tokens=False).ids,
+                           self.kind)
+            edge = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()]
+            if len(edge) != len(some) + 1 or edge[-1] != len(ids):
+                raise ValueError("the tokenizer does not end every word with one end mark")
+            for i, a, b in zip(some, edge, edge[1:]):
+                found[i] = ids[a:b]
+        rest = np.flatnonzero(~letters).tolist()
+        for i, got in zip(rest, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)):
+            found[i] = np.array(got.ids, self.kind)
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        need = self.used + int(size.sum())
+        if need > len(self.pool):
+            self.pool = np.concatenate([self.pool[:self.used], np.zeros(2 * need - self.used, self.kind)])
+        self.pool[self.used:need] = np.concatenate([np.zeros(0, self.kind), *found])
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.place, self.size = (np.insert(a, at, b) for a, b in (
+            (self.known, hashes), (self.place, self.used + np.cumsum(size) - size), (self.size, size)))
+        self.used = need
+
+    def _numbers(self, lower: np.ndarray, begin: np.ndarray, end: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Place in the pool and number of ids of each piece."""
+        hashes, one, number = np.unique(span_hashes(lower, begin, end), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, hashes)
+        new = np.flatnonzero(np.append(self.known, np.uint64(0))[at] != hashes) if len(self.known) else np.arange(len(hashes))
+        if len(new):
+            data = lower.tobytes()
+            self._learn(hashes[new], [data[a:b] for a, b in zip(begin[one[new]].tolist(), end[one[new]].tolist())],
+                        letters[one[new]])
+            at = np.searchsorted(self.known, hashes)
+        return self.place[at][number], self.size[at][number]
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text and END."""
+        whole = b"\n".join(texts)
+        ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+        starts, places, sizes, out = [np.zeros(0, np.int64)], [], [], []
+        if len(self.known) > self.PIECES:
+            self._forget()
+        for at, stop in parts_of(whole):
+            lower, begin, end, letters = self._pieces(np.frombuffer(whole[at:stop], np.uint8))
+            place, size = self._numbers(lower, begin, end, letters)
+            starts.append(begin + at)
+            places.append(place)
+            sizes.append(size)
+        upto = np.searchsorted(np.concatenate(starts), ends)
+        place = np.insert(np.concatenate([np.zeros(0, np.int64), *places]), upto, 0)
+        size = np.insert(np.concatenate([np.zeros(0, np.int64), *sizes]), upto, 1)
+        edge = np.cumsum(size)
+        ids = self.pool[np.repeat(place - (edge - size), size) + np.arange(edge[-1] if len(edge) else 0)]
+        cuts = edge[upto + np.arange(len(upto))]
+        for a, b in zip([0, *cuts.tolist()], cuts.tolist()):
+            out.append(ids[a:b])
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -248,10 +324,10 @@ def encoded(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(content.value)
         for part in slices(batches):
-            found = encode(strings(part))
+            found = encode(raw(part))
             yield pa.RecordBatch.from_arrays(
                 [part.column("key"), part.column("h"), pa.array(map(len, found), pa.int64()),
-                 pa.array([f.astype(encode.kind).tobytes() for f in found], pa.binary())], names=["key", "h", "n", "ids"])
+                 pa.array([f.tobytes() for f in found], pa.binary())], names=["key", "h", "n", "ids"])
 
     return read.mapInArrow(run, read.select("key", "h").schema.add("n", "long").add("ids", "binary"))
 
@@ -283,7 +359,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     `tokenizer` is the content of a tokenizers file; it is of fixed size and sent to every executor.
     """
     spark = docs.sparkSession
-    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    chars = docs.agg(F.sum(F.coalesce(F.length(text), F.lit(0)) + DOC_CHARS)).first()[0] or 0
     shards = int(max(1, -(-chars // SHARD_CHARS)))
     terms, kind = len(encoder(tokenizer).last), encoder(tokenizer).kind
     rows = materialise(encoded(docs, tokenizer, key, text))
@@ -299,8 +375,9 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
 
     # About SAMPLES documents a shard, chosen by hash, say where the line holds equal shares of all tokens.
     step = max(1, known.value.n // (SAMPLES * shards))
-    sample = placed(rows.filter(F.pmod(F.xxhash64("h"), F.lit(step)) == 0)).select("place", "n").toArrow()         .sort_by([("place", "ascending"), ("n", "ascending")])
-    upto = np.cumsum(sample.column("n").to_numpy())
+    sample = placed(rows.filter(F.pmod(F.xxhash64("h"), F.lit(step)) == 0)).select("place", "n").toArrow() \
+        .sort_by([("place", "ascending"), ("n", "ascending")])
+    upto = np.cumsum(sample.column("n").to_numpy() + DOC_TOKENS)
     share = np.searchsorted(upto, np.arange(1, shards) * (upto[-1] / shards)) if len(upto) else np.zeros(0, np.int64)
     bounds = sample.column("place").to_numpy()[share]
 
