@@ -171,15 +171,19 @@ def build_chunk_table(t):
 TOPK = """
 h AS (SELECT q.vec_id AS query_id, b.vec_id AS vec_id,
         1 - list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS distance
-      FROM embeddings q, embeddings b WHERE q.label = 3),
+      FROM embeddings q, embeddings b WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM h),
 tk AS (SELECT query_id, vec_id, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5)"""
 
 
 def topk(t):
     e = t.embeddings
-    queries = e.filter("label = 3").select(F.col("vec_id").alias("query_id"), "embedding")
-    return V.vector_topk(queries, e, 5)
+    return V.vector_topk(asked(e), e, 5)
+
+
+def asked(embeddings):
+    """Every twentieth row is a query."""
+    return embeddings.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
 
 
 @query("vector_topk", f"WITH {TOPK.strip()} SELECT * FROM tk")
@@ -187,14 +191,26 @@ def vector_topk(t):
     return topk(t).withColumn("distance", F.round("distance", 6))
 
 
+@query("vector_recall", """
+SELECT count(*) AS queries, true AS enough FROM embeddings WHERE vec_id % 20 = 0""")
+def vector_recall(t):
+    """Whether the approximate search finds nine of ten of the exact search's five nearest, over all queries."""
+    e = t.embeddings
+    near = V.vector_topk_near(asked(e), e, 5, V.vector_cells(e)).select("query_id", "vec_id", F.lit(1).alias("found"))
+    both = topk(t).join(near, ["query_id", "vec_id"], "left")
+    return both.agg(F.count_distinct("query_id").alias("queries"),
+                    (F.count("found") >= 0.9 * F.count(F.lit(1))).alias("enough"))
+
+
 @query("retrieval_context", f"""
 WITH {TOPK.strip()}
-SELECT query_id, string_agg('[SOURCE ' || rank || ']' || chr(10) || 'doc_id: ' || doc_id || chr(10) || 'chunk_id: ' || vec_id
-  || chr(10) || 'title: ' || source || chr(10) || 'content:' || chr(10) || text, chr(10) ORDER BY rank) AS context
-FROM tk JOIN documents ON vec_id = doc_id GROUP BY query_id""")
+SELECT query_id, string_agg('[SOURCE ' || rank || ']' || chr(10) || 'doc_id: ' || coalesce(CAST(doc_id AS VARCHAR), 'None')
+  || chr(10) || 'chunk_id: ' || vec_id || chr(10) || 'title: ' || coalesce(source, 'None') || chr(10) || 'content:' || chr(10)
+  || coalesce(text, 'None'), chr(10) ORDER BY rank) AS context
+FROM tk LEFT JOIN documents ON vec_id = doc_id GROUP BY query_id""")
 def retrieval_context(t):
     docs = t.documents.select("doc_id", F.col("source").alias("title"), F.col("text").alias("content"))
-    hits = topk(t).withColumn("chunk_id", F.col("vec_id")).join(docs, F.col("vec_id") == F.col("doc_id"))
+    hits = topk(t).withColumn("chunk_id", F.col("vec_id")).join(docs, F.col("vec_id") == F.col("doc_id"), "left")
     return V.retrieval_context(hits)
 
 
@@ -205,10 +221,10 @@ WITH {TOPK.strip()},
 SELECT substr(sha256('question ' || vec_id || ' password=[REDACTED_PASSWORD]' || '-2024-01-01 00:00:00'), 1, 20) AS redacted_id,
   vec_id AS query_id, 'question ' || vec_id || ' password=[REDACTED_PASSWORD]' AS question, 5 AS top_k,
   CAST(vec_id % 100 AS DOUBLE) / 100 AS confidence, CAST(vec_id % 100 AS DOUBLE) / 100 < 0.65 AS needs_human_review, sources
-FROM embeddings JOIN s ON vec_id = query_id WHERE label = 3""")
+FROM embeddings JOIN s ON vec_id = query_id WHERE vec_id % 20 = 0""")
 def query_audit(t):
     hits = topk(t).withColumns({"doc_id": F.col("vec_id"), "chunk_id": F.col("vec_id")})
-    answers = t.embeddings.filter("label = 3").select(
+    answers = t.embeddings.filter("vec_id % 20 = 0").select(
         F.col("vec_id").alias("query_id"),
         F.concat(F.lit("question "), "vec_id", F.lit(" password=p"), "vec_id").alias("question"),
         ((F.col("vec_id") % 100).cast("double") / 100).alias("confidence"), F.lit(False).alias("needs_human_review"))

@@ -219,7 +219,7 @@ def test_vector_topk_zero_vector_ties_and_query_blocks(spark):
                                  "vec_id long, embedding array<double>")
     asks = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(5)], "query_id long, embedding array<double>")
     for block in (2, 512):
-        got = V.vector_topk(asks, base, 3, block=block).orderBy("query_id", "rank").collect()
+        got = V.vector_topk(asks, base, 3, query_block=block, base_block=7).orderBy("query_id", "rank").collect()
         assert [(r["query_id"], r["vec_id"]) for r in got] == [(q, v) for q in range(5) for v in (1, 2, 3)]
         assert got[2]["distance"] == 1.0
 
@@ -263,5 +263,5 @@ def test_topk_searches_repeated_and_null_ids(spark):
     base = spark.createDataFrame([(i, unit(i)) for i in range(4)], "vec_id long, embedding array<double>")
     queries = spark.createDataFrame([(q, unit(i)) for i, q in enumerate([2, 2, None, 5])],
                                     "query_id long, embedding array<double>").coalesce(1)
-    found = vector_topk(queries, base, 2, block=2).filter("distance < 0.5").collect()
+    found = vector_topk(queries, base, 2, query_block=2, base_block=3).filter("distance < 0.5").collect()
     assert {(r["query_id"], r["vec_id"]) for r in found} == {(2, 0), (2, 1), (None, 2), (5, 3)}
