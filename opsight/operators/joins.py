@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Sequence
 
+import ahocorasick
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsight.functions.scalar import lookup
@@ -129,11 +134,11 @@ def match_runbooks(
 ) -> DataFrame:
     """Runbooks of the same service or whose symptoms mention the category, first ``n`` by id.
 
-    The OR is split into two equi-joins instead of testing every pair: a category is mentioned
-    where it equals a part of the symptoms as long as itself, so the symptoms are cut into parts
-    of the lengths that requested categories have. Each side keeps only its first ``n`` runbooks
-    per service or category before the join: a request can use no more than that, so the join
-    output is bounded by ``2 n`` rows per request.
+    A category is mentioned where ``symptoms LIKE '%category%'`` holds, with its wildcards ``_``
+    and ``%``, in any case. The OR is split: services by an equi-join, categories by
+    :func:`first_mentions`. Each side keeps only its first ``n`` runbooks per service or category
+    before the join: a request can use no more than that, so the join output is bounded by
+    ``2 n`` rows per request.
     """
     books = runbooks.select(
         F.col(runbook_id),
@@ -148,14 +153,9 @@ def match_runbooks(
     first = [F.col(runbook_id)]
     by_service = latest_n(books, ["_service"], first, n).select("_service", runbook_id)
 
-    wanted = asked.select("_category").distinct()
-    lengths = wanted.agg(F.collect_set(F.length("_category")).alias("n")).scalar()
-    size = F.length("_symptoms")
-    parts = F.flatten(F.transform("_lengths", lambda n: F.when(n == 0, F.array(F.lit(""))).when(
-        size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.col("_symptoms").substr(i, n)))
-        .otherwise(F.array().cast("array<string>"))))
-    mentioned = books.filter(size.isNotNull()).withColumn("_lengths", lengths) \
-        .select(runbook_id, F.explode(F.array_distinct(parts)).alias("_category")).join(wanted, "_category", "left_semi")
+    mentioned = first_mentions(books.select(F.col(runbook_id).alias("id"), F.col("_symptoms").alias("text")),
+                               asked.select(F.col("_category").alias("pattern")).distinct(), n) \
+        .select(F.col("pattern").alias("_category"), F.col("id").alias(runbook_id))
     by_category = latest_n(mentioned, ["_category"], first, n).select("_category", runbook_id)
 
     hits = (
@@ -166,6 +166,78 @@ def match_runbooks(
     return latest_n(hits, [request_id], first, n, out="runbook_rank")
 
 
+#: Texts of a block, in characters, and patterns of a block that meets it.
+BLOCK_CHARS, BLOCK_PATTERNS = 8_000_000, 20_000
+
+
+class LikePattern:
+    """``LIKE '%pattern%'`` as fixed parts in order; ``needle`` is the longest of them, empty where all is wildcards."""
+
+    def __init__(self, pattern: str):
+        runs = [run for run in pattern.split("%") if run]
+        self.needle = max((part for run in runs for part in run.split("_")), key=len, default="")
+        self.plain = len(runs) == 1 and runs[0] == self.needle
+        # Taken leftmost one after the other, the runs between percent signs are found wherever LIKE finds them.
+        self.runs = [re.compile("".join("." if c == "_" else re.escape(c) for c in run), re.DOTALL) for run in runs]
+
+    def found_in(self, text: str) -> bool:
+        at = 0
+        for run in self.runs:
+            hit = run.search(text, at)
+            if hit is None:
+                return False
+            at = hit.end()
+        return True
+
+
+def first_mentions(texts: DataFrame, patterns: DataFrame, n: int, block_chars: int = BLOCK_CHARS,
+                   block_patterns: int = BLOCK_PATTERNS) -> DataFrame:
+    """(pattern, id): the ``n`` smallest ids of the texts in which each pattern occurs, by ``LIKE '%pattern%'``.
+
+    ``texts`` has id and text, ``patterns`` one pattern per row. Blocks of texts meet blocks of
+    patterns through a keyed join. Such a meeting builds one automaton over the longest fixed part
+    of each pattern and reads every text once; a hit is checked for the rest of its pattern. A
+    pattern without a fixed part is checked with every text. Each meeting keeps ``n`` ids per
+    pattern, so what is ranked at the end does not grow with the number of mentions. A NULL text
+    holds nothing; an id whose text repeats counts once per row.
+    """
+    chars, count = texts.agg(F.sum(F.length("text"))).first()[0] or 0, patterns.count()
+    parts, shards = (max(1, -(-a // b)) for a, b in ((chars, block_chars), (count, block_patterns)))
+    held = texts.filter("text IS NOT NULL").withColumn("_row", F.monotonically_increasing_id()) \
+        .withColumn("part", F.pmod(F.xxhash64("id", "_row"), F.lit(parts)).cast("int")) \
+        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).drop("_row")
+    wanted = patterns.withColumn("of_shard", F.pmod(F.xxhash64("pattern"), F.lit(shards)).cast("int")) \
+        .withColumn("of_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    kind = dict(texts.dtypes)["id"]
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        best: dict[str, list] = defaultdict(list)
+        known = {p: LikePattern(p) for p in right.column("pattern").to_pylist()}
+        everywhere = [p for p, like in known.items() if not like.needle]
+        needles: dict[str, list[str]] = defaultdict(list)
+        for p, like in known.items():
+            if like.needle:
+                needles[like.needle].append(p)
+        automaton = ahocorasick.Automaton()
+        for needle in needles:
+            automaton.add_word(needle, needle)
+        if needles:
+            automaton.make_automaton()
+        # In the order of ids, so that a pattern that has n of them need not be looked for again.
+        left = left.sort_by("id") if left.num_rows else left
+        for i, text in zip(left.column("id").to_pylist(), left.column("text").to_pylist()):
+            seen = {needle for _, needle in automaton.iter(text)} if needles else ()
+            for p in (*everywhere, *(p for needle in seen for p in needles[needle])):
+                if len(best[p]) < n and (known[p].plain or known[p].found_in(text)):
+                    best[p].append(i)
+        rows = [(p, i) for p, ids in best.items() for i in ids]
+        return pa.table({"pattern": pa.array([p for p, _ in rows], pa.string()),
+                         "id": pa.array([i for _, i in rows], left.schema.field("id").type)})
+
+    return held.groupBy("part", "shard").cogroup(wanted.groupBy("of_part", "of_shard")) \
+        .applyInArrow(search, f"pattern string, id {kind}")
+
+
 def union_all(*parts: DataFrame) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:

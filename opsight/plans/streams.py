@@ -4,10 +4,12 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
+from opsight.functions import text as X
 from opsight.functions.nested import encode_message
 from opsight.operators import decisions as D, security as Z
 from opsight.plans.decisions import GOOD, MITIGATION_SQL, OBS_SEVERITY, ROUTE_SQL, SCORE_SQL, events_sql
 from opsight.plans.registry import REGISTRY, query
+from opsight.plans.text import replace_sql
 from opsight.plans.views import VIEWS
 from opsight.sources import files as FS, messages as M, tables as T
 from opsight.streaming import pipelines as S
@@ -153,18 +155,16 @@ def append_jsonl(t):
     return t.spark.read.schema("event_id bigint, service string").json(path)
 
 
-@query("read_documents", """
-SELECT length(text) AS n_chars, count(*) AS n FROM documents WHERE text NOT LIKE '%@%' AND text NOT LIKE '%assword%'
- AND text NOT LIKE '%api%key%' AND text NOT LIKE '%earer%' GROUP BY 1""")
+@query("read_documents", f"""
+SELECT doc_id, length(content) AS n_chars, md5(content) AS digest
+FROM (SELECT doc_id, {replace_sql("coalesce(text, '') || chr(10)", X.REDACTIONS)} AS content FROM documents)""")
 def read_documents(t):
+    """Every document written as a file of its own and read back, redacted."""
     path = S.scratch(t.spark, "docs")
-    plain = t.documents.filter(~F.col("text").contains("@") & ~F.col("text").contains("assword")
-                               & ~F.like("text", F.lit("%api%key%")) & ~F.col("text").contains("earer"))
-    # One file per source: the writer's record separator marks the documents, the scan reads whole files.
-    plain.select("text", F.col("source").alias("folder")).write.partitionBy("folder").option("lineSep", "\u0001").text(path)
+    t.spread().documents.select("text", F.col("doc_id").alias("doc")).write.partitionBy("doc").text(path)
     docs = FS.read_documents(t.spark, path)
-    texts = docs.select(F.explode(F.filter(F.split("content", "\u0001"), lambda x: x != "")).alias("text"))
-    return texts.groupBy(F.length("text").alias("n_chars")).agg(F.count(F.lit(1)).alias("n"))
+    return docs.select(F.regexp_extract("source_path", r"/doc=(-?\d+)/", 1).cast("bigint").alias("doc_id"),
+                       F.length("content").alias("n_chars"), F.md5("content").alias("digest"))
 
 
 @query("read_audit_json", REGISTRY["audit_risk"].sql if "audit_risk" in REGISTRY else None)

@@ -99,12 +99,12 @@ VIEWS: dict[str, str] = {
                'RB-' || CAST(o_orderkey % 9 AS STRING) AS runbook,
                CAST(o_orderdate AS TIMESTAMP) AS updated_ts, o_totalprice AS current_value
         FROM {orders}""",
-    # Notification log: one delivery attempt for a part of the incidents.
+    # Notification log: one delivery attempt for each incident, some failed and some long ago.
     "notification_log": """
         SELECT 'INC-' || CAST(o_orderkey AS STRING) AS incident_id,
                CASE o_orderkey % 3 WHEN 0 THEN 'SENT' WHEN 1 THEN 'DRY_RUN' ELSE 'FAILED' END AS status,
                TIMESTAMP '2002-01-01 00:00:00' - INTERVAL '1' MINUTE * CAST(o_orderkey % 180 AS INT) AS created_ts
-        FROM {orders} WHERE o_orderkey % 2 = 0""",
+        FROM {orders}""",
     # Model predictions with ground truth.
     "predictions": """
         SELECT d.doc_id AS event_no, d.source AS service, l.quality AS y,
@@ -239,7 +239,9 @@ VIEWS: dict[str, str] = {
     "tickets": """
         SELECT c_custkey AS request_id, 'Brand#' || CAST(c_custkey % 25 + 1 AS STRING) AS service_guess,
                CASE c_custkey % 5 WHEN 0 THEN 'ring' WHEN 1 THEN 'Widget' WHEN 2 THEN 'gear'
-                    WHEN 3 THEN 'nothing_known' ELSE 'bolt' END AS category
+                    WHEN 3 THEN CASE c_custkey % 4 WHEN 0 THEN 'nothing_known' WHEN 1 THEN 'small_ring'
+                                WHEN 2 THEN 'G_ar%' ELSE '%' END
+                    ELSE 'bolt' END AS category
         FROM {customer}""",
     "runbooks": """
         SELECT p_partkey AS runbook_id, p_brand AS service_name, p_name AS symptoms FROM {part}""",
