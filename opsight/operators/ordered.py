@@ -12,9 +12,11 @@ finishes. Everything here therefore splits a series by time first:
 * ``session_numbers`` - gap sessions, from per-bucket summaries
 
 Every one is exact. The per-bucket summaries have one row per key and bucket, so the only
-window that spans a whole series runs over ``time range / bucket`` rows. Rows whose key is
-NULL form no series and are dropped, as grouping by that key does in pandas. Rows whose time
-is NULL come last in their series.
+window that spans a whole series runs over ``time range / bucket`` rows. A bucket with more
+than ``DENSE`` rows is cut again, at quantiles of the whole order (see :func:`_placer`), so one
+instant, or the rows without a time, may hold any share of the rows as long as the further
+columns of the order tell them apart. Rows whose key is NULL form no series and are dropped, as
+grouping by that key does in pandas. Rows whose time is NULL come last in their series.
 """
 
 from __future__ import annotations
@@ -24,7 +26,13 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
-BUCKET, POS, CHUNK, HALO = "_bucket", "_pos", "_chunk", "_halo"
+BUCKET, PIECE, POS, CHUNK, HALO = "_bucket", "_piece", "_pos", "_chunk", "_halo"
+#: Rows above which a bucket is cut into pieces of about that many, and the number of pieces that
+#: all buckets together may have: beyond it pieces grow, so that their edges stay small enough to
+#: be broadcast.
+DENSE, PIECES = 1_000_000, 10_000
+#: Rows of a bucket's sample between two edges.
+SAMPLES = 32
 #: Bucket of the rows without a time.
 UNTIMED = 1 << 62
 
@@ -58,17 +66,59 @@ def suggest_bucket(df: DataFrame, keys: Sequence[str], ts: str, rows: int = 1_00
 
 
 def _before(keys: Sequence[str]) -> WindowSpec:
-    """All earlier buckets of the same series, over the small per-bucket table."""
-    return Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    """All earlier pieces of the same series, over the small table of pieces."""
+    return Window.partitionBy(*keys).orderBy(BUCKET, PIECE).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _inside(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    return Window.partitionBy(*keys, BUCKET, PIECE).orderBy(*order)
 
 
 def _attach(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join per-bucket values; the big side is already hashed on (keys, bucket)."""
-    return df.join(summary, [*keys, BUCKET], "inner")
+    """Join per-piece values; the big side is already hashed on (keys, bucket, piece)."""
+    return df.join(summary, [*keys, BUCKET, PIECE], "inner")
+
+
+def _placer(
+    source: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str | Column
+) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds bucket and piece, which never decrease along the order, to rows.
+
+    ``source`` has the keys and the order of the rows to come. Buckets of more than ``DENSE``
+    rows get edges: a sample by hash of their distinct places in the order is sorted, and every
+    ``SAMPLES``-th is an edge. A row's piece is the number of edges at or before it. Where no
+    bucket is dense, the edges are an empty table, and the adaptive planner drops their join.
+    """
+    place = _bucket_of(order, bucket)
+    short = source.select(*keys, *[c for c in order if c not in keys], place.alias(BUCKET))
+    counts = short.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    most = F.greatest(F.lit(float(DENSE)), counts.agg(F.sum("_n") / PIECES).scalar())
+    dense = counts.filter(F.col("_n") > DENSE).filter(F.col("_n") > most) \
+        .select(*keys, BUCKET, F.greatest(F.lit(1), F.floor(most / SAMPLES)).cast("bigint").alias("_step"))
+    along = F.struct(*[F.col(c) for c in order])
+    chosen = short.join(F.broadcast(dense), [*keys, BUCKET]) \
+        .filter(F.pmod(F.xxhash64(*order, F.lit("edge")), F.col("_step")) == 0)
+    sample = F.sort_array(F.collect_set(along))
+    edges = chosen.groupBy(*keys, BUCKET).agg(sample.alias("_sample")).filter(F.size("_sample") > SAMPLES).select(
+        *keys, BUCKET, F.transform(F.sequence(F.lit(SAMPLES), F.size("_sample") - 1, F.lit(SAMPLES)),
+                                   lambda i: F.get("_sample", i)).alias("_edges"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        right = F.get("_edges", middle) <= along
+        open_ = at["lo"] < at["hi"]
+        return F.struct(F.when(open_ & right, middle + 1).otherwise(at["lo"]).alias("lo"),
+                        F.when(open_ & ~right, middle).otherwise(at["hi"]).alias("hi"))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size("_edges") + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size("_edges").alias("hi"))
+    piece = F.when(F.col("_edges").isNull(), 0).otherwise(F.aggregate(rounds, start, halve, lambda at: at["lo"]))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn(BUCKET, place).join(F.broadcast(edges), [*keys, BUCKET], "left") \
+            .withColumn(PIECE, piece).drop("_edges")
+
+    return placed
 
 
 def _bucket_of(order: Sequence[str], bucket: str | Column) -> Column:
@@ -89,19 +139,15 @@ def positions(
     scan keeps the count pass to two columns when ``df`` is a long derivation of it.
     """
     source = df if index is None else index
-    counts = (
-        source.select(*keys, _bucket_of(order, bucket).alias(BUCKET))
-        .groupBy(*keys, BUCKET)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    place = _placer(source, keys, order, bucket)
+    rows = source.select(*keys, *[c for c in order if c not in keys])
+    counts = place(rows).groupBy(*keys, BUCKET, PIECE).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
-        *keys, BUCKET, F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_offset")
-    )
-    numbered = df.withColumn(BUCKET, _bucket_of(order, bucket)).withColumn(
-        "_rn", F.row_number().over(_inside(keys, order))
+        *keys, BUCKET, PIECE, F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_offset")
     )
+    numbered = place(df).withColumn("_rn", F.row_number().over(_inside(keys, order)))
     placed = _attach(numbered, offsets, keys)
-    return placed.withColumn(POS, F.col("_offset") + F.col("_rn") - 1).drop(BUCKET, "_rn", "_offset")
+    return placed.withColumn(POS, F.col("_offset") + F.col("_rn") - 1).drop(BUCKET, PIECE, "_rn", "_offset")
 
 
 def over_frames(
@@ -209,20 +255,20 @@ def carry_last(
     ``index`` is any relation with the same keys, times and values as ``df``; the per-bucket
     pass reads it instead, which spares a long derivation of ``df`` a second evaluation.
     """
-    place = _bucket_of(order, bucket)
-    base = df.withColumn(BUCKET, place).withColumn("_v", value)
-    short = base if index is None else index.withColumn(BUCKET, place).withColumn("_v", value)
+    place = _placer(df if index is None else index, keys, order, bucket)
+    base = place(df).withColumn("_v", value)
+    short = base if index is None else place(index).withColumn("_v", value)
     seen = F.when(F.col("_v").isNotNull(), F.struct(*[F.col(c) for c in order]))
-    per_bucket = short.groupBy(*keys, BUCKET).agg(F.max_by("_v", seen).alias("_last"))
-    earlier = per_bucket.select(
-        *keys, BUCKET, F.last("_last", ignorenulls=True).over(_before(keys)).alias("_earlier")
+    per_piece = short.groupBy(*keys, BUCKET, PIECE).agg(F.max_by("_v", seen).alias("_last"))
+    earlier = per_piece.select(
+        *keys, BUCKET, PIECE, F.last("_last", ignorenulls=True).over(_before(keys)).alias("_earlier")
     )
     frame = _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     local = base.withColumn("_local", F.last("_v", ignorenulls=True).over(frame))
     return (
         _attach(local, earlier, keys)
         .withColumn(out, F.coalesce("_local", "_earlier"))
-        .drop(BUCKET, "_v", "_local", "_earlier")
+        .drop(BUCKET, PIECE, "_v", "_local", "_earlier")
     )
 
 
@@ -235,17 +281,17 @@ def running_sum(
     bucket: str = "1 hour",
 ) -> DataFrame:
     """Cumulative sum including the current row."""
-    base = df.withColumn(BUCKET, _bucket_of(order, bucket)).withColumn("_v", F.coalesce(value, F.lit(0)))
-    per_bucket = base.groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_sum"))
-    earlier = per_bucket.select(
-        *keys, BUCKET, F.coalesce(F.sum("_sum").over(_before(keys)), F.lit(0)).alias("_earlier")
+    base = _placer(df, keys, order, bucket)(df).withColumn("_v", F.coalesce(value, F.lit(0)))
+    per_piece = base.groupBy(*keys, BUCKET, PIECE).agg(F.sum("_v").alias("_sum"))
+    earlier = per_piece.select(
+        *keys, BUCKET, PIECE, F.coalesce(F.sum("_sum").over(_before(keys)), F.lit(0)).alias("_earlier")
     )
     frame = _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     local = base.withColumn("_local", F.sum("_v").over(frame))
     return (
         _attach(local, earlier, keys)
         .withColumn(out, F.col("_local") + F.col("_earlier"))
-        .drop(BUCKET, "_v", "_local", "_earlier")
+        .drop(BUCKET, PIECE, "_v", "_local", "_earlier")
     )
 
 
@@ -264,14 +310,14 @@ def session_numbers(
     gap = int(gap_minutes * 60_000_000)
     times = (
         df.select(*keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"),
-                  time_bucket(ts, bucket).alias(BUCKET))
+                  time_bucket(ts, bucket).alias(BUCKET), F.lit(0).alias(PIECE))
         .distinct()
     )
     inside = _inside(keys, ["_t"])
     marked = times.withColumn(
         "_new", F.coalesce((F.col("_t") - F.lag("_t").over(inside) > gap).cast("int"), F.lit(0))
     ).withColumn("_in", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    per_bucket = marked.groupBy(*keys, BUCKET).agg(
+    per_bucket = marked.groupBy(*keys, BUCKET, PIECE).agg(
         F.max("_in").alias("_breaks"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi")
     )
     series = Window.partitionBy(*keys).orderBy(BUCKET)
@@ -281,6 +327,7 @@ def session_numbers(
     earlier = opened.select(
         *keys,
         BUCKET,
+        PIECE,
         (
             F.coalesce(F.sum(F.col("_breaks") + F.col("_open")).over(_before(keys)), F.lit(0))
             + F.col("_open")

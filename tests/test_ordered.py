@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from opsight.operators import joins as J, windows as W
+from opsight.operators import joins as J, ordered as O, windows as W
 from opsight.operators.ordered import over_frames, positions, running_sum, session_numbers
 from opsight.operators.quantiles import cumulate, distinct_counts, exact_quantiles
 
@@ -194,3 +194,74 @@ def test_frames_wider_than_a_chunk(spark):
         v = part["v"].to_numpy()
         want |= {i: round(float(v[max(0, at - 40):at + 31].sum()), 6) for at, i in enumerate(part["id"])}
     assert {r["id"]: r["total"] for r in got.collect()} == pytest.approx(want)
+
+
+@pytest.fixture
+def dense(monkeypatch):
+    """Small buckets: more than 60 rows at one place of a series are cut."""
+    monkeypatch.setattr(O, "DENSE", 60)
+    monkeypatch.setattr(O, "SAMPLES", 4)
+
+
+def crowded(spark, n=1800):
+    """A third of the rows at one instant, a third without a time, the rest spread; all of one hot key but a few."""
+    rows = []
+    for i in range(n):
+        ts = START if i % 3 == 0 else None if i % 3 == 1 else START + timedelta(seconds=37 * i)
+        rows.append(("hot" if i % 50 else "cold", ts, (i * 7919) % n, float((i * 31) % 17) if i % 4 else None))
+    return frame(spark, rows), rows
+
+
+def in_order(rows, key):
+    late = START + timedelta(days=9999)
+    return sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is None, r[1] or late, r[2]))
+
+
+def test_no_piece_of_a_crowded_instant_is_large(spark, dense):
+    df, rows = crowded(spark)
+    placed = O._placer(df, ["k"], ["ts", "id"], "1 hour")(df)
+    sizes = [r["count"] for r in placed.groupBy("k", O.BUCKET, O.PIECE).count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 4 * O.DENSE and len(sizes) > len(rows) / (4 * O.DENSE)
+
+
+def test_positions_of_a_crowded_instant(spark, dense):
+    df, rows = crowded(spark)
+    got = {(r["k"], r["id"]): r["_pos"] for r in O.positions(df, ["k"], ["ts", "id"]).collect()}
+    want = {(key, r[2]): i for key in ("hot", "cold") for i, r in enumerate(in_order(rows, key))}
+    assert got == want
+
+
+def test_carried_values_and_sums_of_a_crowded_instant(spark, dense):
+    df, rows = crowded(spark)
+    carried = O.carry_last(df, ["k"], ["ts", "id"], F.col("v"), "last")
+    got = {(r["k"], r["id"]): (r["last"], r["total"])
+           for r in O.running_sum(carried, ["k"], ["ts", "id"], F.col("v"), "total").collect()}
+    for key in ("hot", "cold"):
+        last, total = None, 0.0
+        for r in in_order(rows, key):
+            last, total = (last, total) if r[3] is None else (r[3], total + r[3])
+            assert got[key, r[2]] == (last, pytest.approx(total))
+
+
+def test_frames_of_a_crowded_instant(spark, dense):
+    df, rows = crowded(spark)
+    out = O.over_frames(df, ["k"], ["ts", "id"], lambda w: {"n": F.sum("id").over(w.rowsBetween(-4, 0))}, before=4, chunk=50)
+    got = {(r["k"], r["id"]): r["n"] for r in out.collect()}
+    for key in ("hot", "cold"):
+        ties = [r[2] for r in in_order(rows, key)]
+        assert all(got[key, t] == sum(ties[max(0, i - 4):i + 1]) for i, t in enumerate(ties))
+
+
+def test_rows_equal_in_the_whole_order_stay_whole(spark, dense):
+    """What the order cannot tell apart is one piece; nothing is lost."""
+    df = frame(spark, [("k", START, 1, 1.0)] * 500 + [("k", START, 2, 1.0)] * 500)
+    assert sorted(r["_pos"] for r in O.positions(df, ["k"], ["ts", "id"]).collect()) == list(range(1000))
+
+
+def test_dense_buckets_of_a_column(spark, dense):
+    from opsight.operators.models import stratified_split
+
+    df = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, "a").otherwise("b").alias("label"))
+    out = stratified_split(df, "label", "id", 0.25).groupBy("label", "split").count().collect()
+    assert {(r["label"], r["split"]): r["count"] for r in out} == {
+        ("a", "test"): 100, ("a", "train"): 300, ("b", "test"): 900, ("b", "train"): 2700}
