@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,16 +50,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def _remove_stages(spark: SparkSession, folder: str) -> None:
-    """Delete what this session wrote, if the session still runs when Python ends."""
-    try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # noqa: BLE001 - the session is gone; the folder's owner clears it
-        return
+_FOLDERS: set[str] = set()
+_OPEN: list[list[str]] = []
 
 
-_FOLDERS: set[str] = set()
+def _stage_folder(spark: SparkSession) -> str:
+    """The folder of this application's stages; the JVM deletes it when it ends, also after the session was stopped."""
+    folder = f"{ensure_checkpoint_dir(spark)}/opsight-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        path, fs = _file_system(spark, folder)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _FOLDERS.add(folder)
+    return folder
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -66,13 +75,29 @@ def materialise(df: DataFrame) -> DataFrame:
 
     The stage is written as a table in the shared checkpoint folder, so a lost executor costs
     nothing, no branch recomputes it, and readers fetch only the columns they use. The stages of a
-    session lie in one folder, which is deleted when Python ends.
+    session lie in one folder, which is deleted when the application ends; :func:`collecting` and
+    :func:`discard` free them earlier.
     """
     spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark)}/opsight-{spark.sparkContext.applicationId}"
-    if folder not in _FOLDERS:
-        _FOLDERS.add(folder)
-        atexit.register(_remove_stages, spark, folder)
-    path = f"{folder}/stage-{uuid.uuid4().hex}"
+    path = f"{_stage_folder(spark)}/stage-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def collecting(paths: list[str]) -> Iterator[None]:
+    """Notes the tables that :func:`materialise` writes meanwhile."""
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.pop()
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete noted tables once nothing reads them any more."""
+    while paths:
+        path, fs = _file_system(spark, paths.pop())
+        fs.delete(path, True)
