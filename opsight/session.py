@@ -70,19 +70,20 @@ def _file_system(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Cut lineage of a stage that several branches or iterations read.
 
     The stage is written as a table in the shared checkpoint folder, so a lost executor costs
     nothing, no branch recomputes it, and readers fetch only the columns they use. The stages of a
     session lie in one folder, which is deleted when the application ends; :func:`collecting` and
-    :func:`discard` free them earlier.
+    :func:`discard` free them earlier. Rows with values of megabytes are better written with
+    ``zstd``, whose buffers lie in the heap, than with ``snappy``, whose grow outside of it.
     """
     spark = df.sparkSession
     path = f"{_stage_folder(spark)}/stage-{uuid.uuid4().hex}"
     for paths in _OPEN:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
