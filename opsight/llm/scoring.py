@@ -44,7 +44,7 @@ from opsight.session import materialise
 
 ORDER = 2
 SCALE, POWER = 4.0, 0.75
-BATCH, SHARD = 8 << 20, 16 << 20
+BATCH, SHARD = 4 << 20, 8 << 20
 START, END = np.uint64(1), np.uint64(2)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -104,64 +104,47 @@ def grams_of(vocabulary: np.ndarray, words: np.ndarray, places: np.ndarray, orde
 
 
 class Automaton:
-    """States, arcs and failure arcs of a batch's n-grams. A state's number is that of its history, after all shorter ones.
+    """The states, arcs and failure arcs that a batch's texts can reach.
 
-    State 0 has seen nothing; from it every word of the batch has an arc, weighted `first`, to its own history `home`.
+    A state is a seen n-gram of fewer than `order` words, named by its order and number. Arcs are named by the n-gram that
+    they complete: `weight[k]` has those of order k + 1, `back[k]` the failure arcs of the states of order k + 1. At a token,
+    the arc of order k exists where the n-gram of that order which ends there was seen, so no search is needed.
     """
 
     def __init__(self, levels: list[Grams], totals: list[np.ndarray], tokens: int, once: int):
         """`totals` are the learning counts of each order's n-grams; N = `tokens` and U = `once` + 1."""
-        order, words = len(levels), len(levels[0].hashes)
-        offsets = np.cumsum([1, *(len(g.hashes) for g in levels)])
         p = np.where(totals[0] > 0, totals[0], once + 1) / (tokens + once + 1)
-        self.words, self.first = words, np.log10(p).tolist()
-        seen = totals[0] > 0
-        state = np.where(seen, offsets[0] + np.arange(words), 0) if order > 1 else np.zeros(words, np.int64)
-        self.home = state.tolist()
-        self.weight: dict[int, float] = {}
-        self.target: dict[int, int] = {}
-        self.fail: dict[int, int] = {}
-        self.back: dict[int, float] = {}
-        if order > 1:
-            self._failures(state[seen], np.zeros(seen.sum(), np.int64), totals[0][seen])
-        for k in range(1, order):
+        self.at, self.weight = [g.at for g in levels], [np.log10(p)]
+        for k in range(1, len(levels)):
             grams, shorter = levels[k], levels[k - 1]
             on = np.flatnonzero(totals[k] > 0)
             end = grams.one[on]
-            history, suffix = shorter.at[end - 1], shorter.at[end]
-            q = np.zeros(len(grams.hashes))
-            s = strength(totals[k - 1][history])
-            q[on] = (totals[k][on] + s * p[suffix]) / (totals[k - 1][history] + s)
-            key = state[history] * words + levels[0].at[end]
-            own = np.zeros(len(grams.hashes), np.int64)
-            own[on] = offsets[k] + on if k < order - 1 else state[suffix]
-            self.weight.update(zip(key.tolist(), np.log10(q[on]).tolist()))
-            self.target.update(zip(key.tolist(), own[on].tolist()))
-            if k < order - 1:
-                self._failures(own[on], state[suffix], totals[k][on])
-            p, state = q, own
-
-    def _failures(self, states: np.ndarray, to: np.ndarray, totals: np.ndarray) -> None:
-        self.fail.update(zip(states.tolist(), to.tolist()))
-        self.back.update(zip(states.tolist(), np.log10(strength(totals) / (totals + strength(totals))).tolist()))
-
-    def read(self, text: list[int]) -> float:
-        """The log10 probability of the words after the first, which is the start."""
-        words, first, home, fail, back = self.words, self.first, self.home, self.fail, self.back
-        weight, target = self.weight, self.target
-        state, total = home[text[0]], 0.0
-        for w in text[1:]:
-            while state:
-                arc = state * words + w
-                if arc in weight:
-                    total += weight[arc]
-                    state = target[arc]
-                    break
-                total += back[state]
-                state = fail[state]
-            else:
-                total += first[w]
-                state = home[w]
+            history = totals[k - 1][shorter.at[end - 1]]
+            s, q = strength(history), np.ones(len(grams.hashes))
+            q[on] = (totals[k][on] + s * p[shorter.at[end]]) / (history + s)
+            self.weight.append(np.log10(q))
+            p = q
+        self.back = []
+        for counts in totals[:-1]:
+            s = strength(np.maximum(counts, 1))
+            self.back.append(np.log10(s / (counts + s)))
+        # How many words the longest seen n-gram that ends at each token has; those it ends with were seen too.
+        self.depth = sum((np.append(counts > 0, False)[g.at].astype(np.int64) for g, counts in zip(levels, totals)))
+
+    def read(self, first: int, end: int) -> float:
+        """The log10 probability of the tokens after `first`, where the start stands, to before `end`."""
+        most = len(self.at) - 1
+        weight = [[], *(w[a[first:end]].tolist() for w, a in zip(self.weight, self.at))]
+        back = [[], *(b[a[first:end]].tolist() for b, a in zip(self.back, self.at))]
+        depth = self.depth[first:end].tolist()
+        total, state = 0.0, min(depth[0], most)
+        for i in range(1, len(depth)):
+            k, seen = state + 1, depth[i]
+            while k > 1 and k > seen:
+                k -= 1
+                total += back[k][i - 1]
+            total += weight[k][i]
+            state = seen if seen < most else most
         return total
 
 
@@ -274,9 +257,9 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     shards = max(1, -(-size // SHARD))
-    batches = materialise(numbered(docs, learn, key, text))
+    batches = materialise(numbered(docs, learn, key, text), "zstd")
     totals = materialise(requests(batches, order, shards).groupBy("shard", "k").applyInArrow(
-        _added, "batch long, k int, shard long, width int, totals binary, tokens long, types long, once long"))
+        _added, "batch long, k int, shard long, width int, totals binary, tokens long, types long, once long"), "zstd")
     tokens, types, once = totals.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "once"))).first()
     kind = dict(docs.select(F.col(key).alias("key")).dtypes)["key"]
 
@@ -292,10 +275,10 @@ def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
         base = np.log10((counts[0] + 1) / (tokens + types + 1))
         rows, end = [], 0
         for n in row["sizes"]:
-            text = words[end:end + n]
-            end += n
+            first, end = end, end + n
+            text = words[first:end]
             rows.append((n - 1, int((counts[0][text[1:]] > 0).sum()), tokens, math.fsum(base[text[1:]].tolist()),
-                         automaton.read(text.tolist())))
+                         automaton.read(first, end)))
         cols = list(zip(*rows))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
