@@ -11,6 +11,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsight.operators.metrics import regression_metrics
+from opsight.operators.ordered import over_frames, positions, running_sum
 from opsight.operators.windows import date_split
 from opsight.session import materialise
 
@@ -35,6 +36,73 @@ def clean_spikes(df: DataFrame, key: str, y: str, width: float = 3.0) -> DataFra
     ).drop("_m", "_mad")
 
 
+#: A split is kept where it explains more than this many noise variances times the log of the series' length.
+PENALTY, LEAST = 4.0, 5
+
+
+def level_segments(
+    df: DataFrame, key: str, ts: str, y: str, penalty: float = PENALTY, least: int = LEAST, bucket: str = "30 days"
+) -> DataFrame:
+    """The rows with the segment of their series (0, 1, ...) between level shifts, found by binary segmentation.
+
+    Rounds run over all series at once. From prefix sums, the gain of a cut is known at every row:
+    ``n1 n2 / (n1 + n2) * (mean1 - mean2)^2``. The best cut of each open segment, with at least
+    ``least`` rows on both sides, splits it if the gain exceeds ``penalty * log(n) * noise``, where
+    noise is half the mean square of the series' first differences; only split segments go on.
+    Equal gains go to the earlier row. Rows whose key, time or value is NULL are left out.
+    """
+    points = materialise(df.select(key, ts, F.col(y).cast("double").alias("_y")).na.drop())
+    step = over_frames(points, [key], [ts], lambda w: {"_d": F.col("_y") - F.lag("_y").over(w)}, before=1, bucket=bucket)
+    bounds = step.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), (F.avg(F.col("_d") * F.col("_d")) / 2).alias("_noise"))
+    placed = materialise(positions(points, [key], [ts], bucket))
+    rows = materialise(running_sum(placed, [key], [ts], F.col("_y"), "_sum", bucket))
+    limits = materialise(bounds).select(key, (penalty * F.log(F.col("_n")) * F.coalesce("_noise", F.lit(0.0))).alias("_limit"))
+    active = rows.select(key, "_pos", "_y", "_sum", F.lit(0).cast("bigint").alias("_seg"))
+    cuts = None
+    while True:
+        ends = active.groupBy(key, "_seg").agg(
+            F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"), F.max_by("_sum", "_pos").alias("_top"),
+            F.min_by(F.col("_sum") - F.col("_y"), "_pos").alias("_base")).filter(F.col("_hi") - F.col("_lo") + 1 >= 2 * least)
+        n1, n2 = F.col("_pos") - F.col("_lo") + 1, F.col("_hi") - F.col("_pos")
+        first, second = (F.col("_sum") - F.col("_base")) / n1, (F.col("_top") - F.col("_sum")) / n2
+        gain = F.round(n1 * n2 / (n1 + n2) * (first - second) * (first - second), 6)
+        tried = active.join(ends, [key, "_seg"]).filter((n1 >= least) & (n2 >= least)).withColumn("_gain", gain)
+        best = tried.groupBy(key, "_seg").agg(
+            F.max("_gain").alias("_gain"), F.max_by("_pos", F.struct("_gain", -F.col("_pos"))).alias("_cut"))
+        split = materialise(best.join(limits, key).filter(F.col("_gain") > F.col("_limit")).select(key, "_seg", "_cut"))
+        if split.limit(1).count() == 0:
+            break
+        found = split.select(key, "_cut")
+        cuts = found if cuts is None else cuts.unionByName(found)
+        active = materialise(active.join(split, [key, "_seg"]).select(
+            key, "_pos", "_y", "_sum", (F.col("_seg") * 2 + (F.col("_pos") > F.col("_cut")).cast("int")).alias("_seg")))
+    out = rows.select(key, ts, "_pos", F.col("_y").alias(y))
+    if cuts is None:
+        return out.withColumn("segment", F.lit(0)).drop("_pos")
+    listed = cuts.groupBy(key).agg(F.collect_list("_cut").alias("_cuts"))
+    number = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_pos"))), F.lit(0))
+    return out.join(listed, key, "left").withColumn("segment", F.when(F.col("_cuts").isNull(), 0).otherwise(number)) \
+        .drop("_cuts", "_pos")
+
+
+def step_changes(df: DataFrame, key: str, ts: str, y: str, **params) -> DataFrame:
+    """Level shifts of each series: when the new level begins, and the means before and after."""
+    levels = level_segments(df, key, ts, y, **params).groupBy(key, "segment").agg(
+        F.min(ts).alias("changed_at"), F.avg(y).alias("level_after"))
+    series = Window.partitionBy(key).orderBy("segment")
+    return levels.withColumn("level_before", F.lag("level_after").over(series)).filter("segment > 0").select(
+        key, "changed_at", "level_before", "level_after")
+
+
+def adjust_steps(df: DataFrame, key: str, ts: str, y: str, **params) -> DataFrame:
+    """The series with every level moved to that of its last segment, so that a trend is not fitted to a shift."""
+    rows = materialise(level_segments(df, key, ts, y, **params))
+    levels = rows.groupBy(key, "segment").agg(F.avg(y).alias("_level"))
+    last = levels.groupBy(key).agg(F.max_by("_level", "segment").alias("_last"))
+    return rows.join(levels, [key, "segment"]).join(last, key).withColumn(y, F.col(y) - F.col("_level") + F.col("_last")) \
+        .drop("_level", "_last", "segment")
+
+
 def _steps(ts: Column, step: str) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / STEP_SECONDS[step])
 

@@ -81,13 +81,15 @@ def _attach(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame
 
 def _placer(
     source: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: str | Column
-) -> Callable[[DataFrame], DataFrame]:
-    """A function that adds bucket and piece, which never decrease along the order, to rows.
+) -> tuple[Callable[..., DataFrame], Callable[..., DataFrame]]:
+    """Two functions: one adds bucket and piece, which never decrease along the order, to rows;
+    one aggregates rows per piece.
 
     ``source`` has the keys and the order of the rows to come. Buckets of more than ``DENSE``
     rows get edges: a sample by hash of their distinct places in the order is sorted, and every
     ``SAMPLES``-th is an edge. A row's piece is the number of edges at or before it. Where no
-    bucket is dense, the edges are an empty table, and the adaptive planner drops their join.
+    bucket is dense, the edges are an empty table, and the adaptive planner drops all that joins
+    with them; what is left is one count per bucket.
     """
     place = _bucket_of(order, bucket)
     short = source.select(*keys, *[c for c in order if c not in keys], place.alias(BUCKET))
@@ -114,11 +116,16 @@ def _placer(
     start = F.struct(F.lit(0).alias("lo"), F.size("_edges").alias("hi"))
     piece = F.when(F.col("_edges").isNull(), 0).otherwise(F.aggregate(rounds, start, halve, lambda at: at["lo"]))
 
-    def placed(df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, place).join(F.broadcast(edges), [*keys, BUCKET], "left") \
+    def placed(df: DataFrame, how: str = "left") -> DataFrame:
+        return df.withColumn(BUCKET, place).join(F.broadcast(edges), [*keys, BUCKET], how) \
             .withColumn(PIECE, piece).drop("_edges")
 
-    return placed
+    def per_piece(df: DataFrame, agg: Column) -> DataFrame:
+        whole = df.withColumn(BUCKET, place).groupBy(*keys, BUCKET).agg(agg) \
+            .join(F.broadcast(edges.drop("_edges")), [*keys, BUCKET], "left_anti").withColumn(PIECE, F.lit(0))
+        return whole.unionByName(placed(df, "inner").groupBy(*keys, BUCKET, PIECE).agg(agg))
+
+    return placed, per_piece
 
 
 def _bucket_of(order: Sequence[str], bucket: str | Column) -> Column:
@@ -139,9 +146,8 @@ def positions(
     scan keeps the count pass to two columns when ``df`` is a long derivation of it.
     """
     source = df if index is None else index
-    place = _placer(source, keys, order, bucket)
-    rows = source.select(*keys, *[c for c in order if c not in keys])
-    counts = place(rows).groupBy(*keys, BUCKET, PIECE).agg(F.count(F.lit(1)).alias("_n"))
+    place, per_piece = _placer(source, keys, order, bucket)
+    counts = per_piece(source.select(*keys, *[c for c in order if c not in keys]), F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         *keys, BUCKET, PIECE, F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_offset")
     )
@@ -255,12 +261,11 @@ def carry_last(
     ``index`` is any relation with the same keys, times and values as ``df``; the per-bucket
     pass reads it instead, which spares a long derivation of ``df`` a second evaluation.
     """
-    place = _placer(df if index is None else index, keys, order, bucket)
-    base = place(df).withColumn("_v", value)
-    short = base if index is None else place(index).withColumn("_v", value)
+    source = df if index is None else index
+    place, per_piece = _placer(source, keys, order, bucket)
+    base, short = place(df).withColumn("_v", value), source.withColumn("_v", value)
     seen = F.when(F.col("_v").isNotNull(), F.struct(*[F.col(c) for c in order]))
-    per_piece = short.groupBy(*keys, BUCKET, PIECE).agg(F.max_by("_v", seen).alias("_last"))
-    earlier = per_piece.select(
+    earlier = per_piece(short, F.max_by("_v", seen).alias("_last")).select(
         *keys, BUCKET, PIECE, F.last("_last", ignorenulls=True).over(_before(keys)).alias("_earlier")
     )
     frame = _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
@@ -281,9 +286,10 @@ def running_sum(
     bucket: str = "1 hour",
 ) -> DataFrame:
     """Cumulative sum including the current row."""
-    base = _placer(df, keys, order, bucket)(df).withColumn("_v", F.coalesce(value, F.lit(0)))
-    per_piece = base.groupBy(*keys, BUCKET, PIECE).agg(F.sum("_v").alias("_sum"))
-    earlier = per_piece.select(
+    place, per_piece = _placer(df, keys, order, bucket)
+    rows = df.withColumn("_v", F.coalesce(value, F.lit(0)))
+    base = place(rows)
+    earlier = per_piece(rows, F.sum("_v").alias("_sum")).select(
         *keys, BUCKET, PIECE, F.coalesce(F.sum("_sum").over(_before(keys)), F.lit(0)).alias("_earlier")
     )
     frame = _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)

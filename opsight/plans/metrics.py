@@ -277,6 +277,43 @@ def clean_spikes(t):
                    "net_cost", digits=4)
 
 
+MOVED = """
+src AS (SELECT service, usage_date, sum(net_cost)
+    + CASE WHEN usage_date >= DATE '1997-05-01' THEN 400000 ELSE 0 END
+    - CASE WHEN usage_date >= DATE '1999-09-15' AND service < 'O' THEN 900000 ELSE 0 END AS y
+  FROM daily_cost GROUP BY service, usage_date)"""
+
+
+@query("step_changes", f"""
+WITH RECURSIVE {MOVED.strip()},
+p AS (SELECT service, usage_date, y, row_number() OVER w - 1 AS i, sum(y) OVER w AS s, y - lag(y) OVER w AS d
+      FROM src WINDOW w AS (PARTITION BY service ORDER BY usage_date)),
+lim AS (SELECT service, 4 * ln(count(*)) * avg(d * d) / 2 AS most, max(i) AS last FROM p GROUP BY service),
+seg AS (SELECT service, CAST(0 AS BIGINT) AS lo, last AS hi FROM lim
+  UNION ALL
+  SELECT service, unnest([lo, cut + 1]) AS lo, unnest([cut, hi]) AS hi FROM (
+    SELECT service, lo, hi, max(g) AS g, -max({{'g': g, 'i': -i}}).i AS cut FROM (
+      SELECT seg.service, lo, hi, p.i, round((p.i - lo + 1.0) * (hi - p.i) / (hi - lo + 1)
+          * pow((p.s - a.s + a.y) / (p.i - lo + 1) - (b.s - p.s) / (hi - p.i), 2), 6) AS g
+      FROM seg JOIN p ON p.service = seg.service AND p.i BETWEEN lo + 4 AND hi - 5
+        JOIN p a ON a.service = seg.service AND a.i = lo JOIN p b ON b.service = seg.service AND b.i = hi)
+    GROUP BY service, lo, hi) JOIN lim USING (service) WHERE g > most),
+leaf AS (SELECT * FROM seg x WHERE NOT EXISTS (
+  SELECT 1 FROM seg z WHERE z.service = x.service AND z.lo >= x.lo AND z.hi <= x.hi AND (z.lo, z.hi) <> (x.lo, x.hi))),
+lv AS (SELECT leaf.service, lo, min(usage_date) AS changed_at, avg(y) AS after FROM leaf JOIN p ON p.service = leaf.service
+  AND i BETWEEN lo AND hi GROUP BY leaf.service, lo)
+SELECT service, changed_at, round(before, 4) AS level_before, round(after, 4) AS level_after FROM (
+  SELECT *, lag(after) OVER (PARTITION BY service ORDER BY lo) AS before FROM lv) WHERE before IS NOT NULL""")
+def step_changes(t):
+    """Daily costs, moved up for all services on one day and down for some on another."""
+    day, some = F.col("usage_date"), F.col("service") < "O"
+    cost = t.daily_cost.groupBy("service", "usage_date").agg(F.sum("net_cost").alias("y")).withColumn(
+        "y", F.col("y") + F.when(day >= "1997-05-01", 400000).otherwise(0)
+        - F.when((day >= "1999-09-15") & some, 900000).otherwise(0))
+    found = P.step_changes(cost, "service", "usage_date", "y")
+    return rounded(found, "level_before", "level_after", digits=4)
+
+
 @query("forecast_eval", f"""
 WITH src AS (SELECT * FROM daily_cost WHERE usage_date <= (SELECT max(usage_date) FROM daily_cost) - INTERVAL 14 DAY),
  {fit_sql('src', 'service', 'usage_date', 'net_cost', 'day').strip()},

@@ -219,7 +219,7 @@ def in_order(rows, key):
 
 def test_no_piece_of_a_crowded_instant_is_large(spark, dense):
     df, rows = crowded(spark)
-    placed = O._placer(df, ["k"], ["ts", "id"], "1 hour")(df)
+    placed = O._placer(df, ["k"], ["ts", "id"], "1 hour")[0](df)
     sizes = [r["count"] for r in placed.groupBy("k", O.BUCKET, O.PIECE).count().collect()]
     assert sum(sizes) == len(rows) and max(sizes) <= 4 * O.DENSE and len(sizes) > len(rows) / (4 * O.DENSE)
 
