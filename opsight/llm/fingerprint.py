@@ -3,7 +3,7 @@
 A text's 5-word shingles (words `[^\\x20\\x09-\\x0D]+`; fewer words are one shingle) are hashed once. The high bits of a
 hash choose one of BINS bins, and the least hash of each bin is kept: after sorting, that is the first of each run of
 equal bins. An empty bin takes the value of the bin that its own sequence of universal hashes hits first among the filled
-ones (optimal densification). Of every value the low LOW bits are stored, two hex digits a bin. Likeness is the share of
+ones (optimal densification); a sequence walks all bins, so it always ends at a filled one. Of every value the low LOW bits are stored, two hex digits a bin. Likeness is the share of
 equal bins, corrected for the chance 2^-LOW that unequal values agree.
 
 Defined cases: NULL reads as empty; a text without words has the empty fingerprint, of likeness 1 with another such text
@@ -20,8 +20,6 @@ from opsight.session import materialise
 
 BINS, LOW, SHINGLE = 128, 8, 5
 SHIFT = 64 - (BINS - 1).bit_length()
-#: Probes of the densification; a bin that meets none of the filled bins in so many takes a filled bin by its number.
-PROBES = 48
 GAPS = " \t\n\x0b\f\r"
 
 
@@ -30,9 +28,9 @@ def _bin(h: Column) -> Column:
 
 
 def _probe(b: Column, t: int) -> Column:
-    """The t-th bin that bin b asks: a multiply-add hash with odd factors from a fixed rule."""
-    return (b * F.lit((2654435761 * (2 * t + 1)) % 8191 | 1) + F.lit((40503 * (t + 1)) % 8191)).cast("int") \
-        .bitwiseAND(BINS - 1)
+    """The t-th bin that bin b asks: from a place and with an odd stride that are both hashes of b, so t < BINS asks all."""
+    start, stride = ((b * F.lit(factor) + F.lit(offset)) % 8191 for factor, offset in ((2347, 1021), (5471, 3371)))
+    return (start + stride.bitwiseOR(1) * F.lit(t)).cast("int").bitwiseAND(BINS - 1)
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -54,9 +52,8 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(names["dense"], F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.try_element_at(
         c["first"], F.nullif(F.array_position(c["bins"], b), F.lit(0)).cast("int"))))
     digits = F.array(*[F.lit(f"{v:02x}") for v in range(1 << LOW)])
-    last = lambda b: F.try_element_at(c["first"], (b % F.size(c["first"]) + 1).cast("int"))
     filled = F.transform(c["dense"], lambda v, b: digits[F.coalesce(
-        v, *(c["dense"][_probe(b, t)] for t in range(PROBES)), last(b)).bitwiseAND((1 << LOW) - 1).cast("int")])
+        v, *(c["dense"][_probe(b, t)] for t in range(BINS))).bitwiseAND((1 << LOW) - 1).cast("int")])
     return df.withColumn(out, F.when(F.size(c["first"]) == 0, F.lit("")).otherwise(F.array_join(filled, ""))) \
         .drop(*names.values())
 
@@ -98,7 +95,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """
     links = materialise(chain(docs, key, text))
     # A NULL key gets a name, so that rows are matched by plain equality and the deduplicated texts need not move again.
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
     own = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"), F.xxhash64(text).alias("tie")) \
         .withColumn("name", name("id")).dropDuplicates(["name", "tie"])
     own = with_fingerprint(own, "t", "f").withColumn("f", F.unhex("f"))

@@ -1,6 +1,6 @@
 """Language identification by compression: the dictionary that encodes a text in the fewest bytes names its language.
 
-Every language has a zstandard raw-content dictionary, cut from a bounded sample of its learning rows. A text is encoded
+Every language has a zstandard raw-content dictionary, made of a bounded sample of its learning rows. A text is encoded
 whole with each dictionary, in blocks of BLOCK bytes that each start from the dictionary alone, as a dictionary saves only
 a bounded number of bytes in one piece; a language's size is the sum over all blocks, so that the margin does not shrink
 with the length. The score is the share of bytes the best dictionary saves over the second best, from 0 to 1; a text is
@@ -23,8 +23,8 @@ from opsight.llm.common import slices, strings
 
 #: Encoder level, and that of texts up to SHORT bytes, where finding every match of three bytes matters.
 LEVEL, SHORT, SHORT_LEVEL = 7, 200, 19
-#: The bounded sample: rows per language, code points kept of each of those rows, bytes of the dictionary.
-ROWS, CHARS, BYTES = 400, 2_000, 200_000
+#: The bounded sample: as many whole texts of a language's first ROWS rows as fit into BYTES, in the order of a hash.
+ROWS, BYTES = 400, 200_000
 MARGIN = 0.004
 #: Bytes encoded from a fresh dictionary; a shorter last block counts with the one before it.
 BLOCK = 50_000
@@ -34,23 +34,28 @@ FIELDS = {"lang_pred": pa.string(), "score": pa.float64(), "rejected": pa.bool_(
 
 
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
-    """Raw-content dictionaries by language, from at most ROWS rows of each language in the order of their key's hash.
+    """Raw-content dictionaries by language, from whole texts of at most BYTES bytes together.
 
-    The sample is chosen on key and language alone; only the chosen rows' texts are read and sent to the driver.
+    Rows are taken in the order of their key's hash; texts of more than BYTES bytes are passed over. The first ROWS rows of a
+    language are chosen on key and language alone; only the texts that fit are sent to the driver.
     """
     rows = rows.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     order = F.xxhash64(F.col(key))
     rank = F.row_number().over(Window.partitionBy("l").orderBy("h", "k"))
     chosen = rows.select(F.col(lang).alias("l"), order.alias("h"), F.col(key).alias("k")).withColumn("r", rank) \
         .filter(F.col("r") <= ROWS).select("k").distinct()
+    # Every text is followed by a line end in the dictionary.
+    size = F.octet_length(F.lower(F.col(text))) + 1
+    upto = F.sum("n").over(Window.partitionBy("l").orderBy("h", "t").rowsBetween(Window.unboundedPreceding, 0))
     sample = rows.join(F.broadcast(chosen), rows[key] == chosen["k"], "left_semi") \
-        .select(F.col(lang).alias("l"), F.substring(F.col(text), 1, CHARS).alias("t"), order.alias("h"))
+        .select(F.col(lang).alias("l"), F.col(text).alias("t"), order.alias("h"), size.alias("n")).filter(F.col("n") <= BYTES) \
+        .withColumn("upto", upto).filter(F.col("upto") <= BYTES).select("l", "t", "h")
     texts: dict[str, list[tuple[int, str]]] = {}
     for r in sample.collect():
         texts.setdefault(r["l"], []).append((r["h"], r["t"]))
     # The end of a dictionary is the cheapest to refer to; equal samples give equal dictionaries.
     return {
-        name: "\n".join(t.lower() for _, t in sorted(found)).encode()[-BYTES:]
+        name: "\n".join(t.lower() for _, t in sorted(found)).encode()
         for name, found in sorted(texts.items()) if any(LETTER.search(t) for _, t in found)
     }
 

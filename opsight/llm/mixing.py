@@ -66,9 +66,11 @@ def mix(docs: DataFrame, levels: dict[str, Column], total: float | None = None,
     """
     names = tuple(f"mix_{n}" for n in levels)
     n_tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORDS)).cast("long")
-    marked = docs.withColumns({f"mix_{n}": F.coalesce(c.cast("string"), F.lit("")) for n, c in levels.items()}) \
-        .withColumn("mix_text", F.xxhash64(F.col(text))).withColumn("mix_key", F.col(key))
-    narrow = materialise(marked.withColumn("tokens", n_tokens).select(*names, "mix_key", "mix_text", "tokens"))
+    # The caller's columns travel inside one, so that no name of theirs can meet one used here.
+    marked = docs.select(
+        F.struct(*docs.columns).alias("row"), *(F.coalesce(c.cast("string"), F.lit("")).alias(f"mix_{n}") for n, c in levels.items()),
+        F.xxhash64(F.col(text)).alias("mix_text"), F.col(key).alias("mix_key"), n_tokens.alias("tokens"))
+    narrow = materialise(marked.select(*names, "mix_key", "mix_text", "tokens"))
     leaves = materialise(narrow.groupBy(*names).agg(F.sum("tokens").alias("supply"), F.count("*").alias("rows")))
     size = leaves.agg(F.count("*").alias("n"), F.max("rows").alias("most"), F.sum("supply").alias("supply")).first()
     total = float(size["supply"] or 0) if total is None else float(total)
@@ -103,6 +105,6 @@ def mix(docs: DataFrame, levels: dict[str, Column], total: float | None = None,
         "mix_times", F.col("mix_full") + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0)).filter("mix_times > 0") \
         .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("mix_times") - 1)))
     if not report:
-        return taken.select(*docs.columns)
+        return taken.select("row.*")
     return taken.select(F.col("mix_key").alias(key), *names, F.col("tokens").alias("n_tokens"),
                         F.col("mix_epoch").cast("int").alias("epoch"))

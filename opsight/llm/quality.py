@@ -1,7 +1,7 @@
 """Quality rules: repetition and symbol counts of whole texts, then a calibrated logistic regression on hashed n-grams.
 
-Words are runs of [^\\x20\\x09-\\x0D]. The model sees a text's words, word pairs and 4-grams of its bytes, hashed into
-2^BITS columns each and divided by the number of words and of bytes. It is trained on a bounded sample of labelled rows,
+Words are runs of [^\\x20\\x09-\\x0D]. The model sees a text's words, word pairs and 4-grams of its code points, hashed into
+2^BITS columns each and divided by the number of words and of code points. It is trained on a bounded sample of labelled rows,
 calibrated on a part of them kept out of training (Platt), and scored in Arrow batches against the fixed threshold KEEP.
 
 Defined cases: a NULL or empty text has zero counts, fails the base rule and gets the prior as its score. Rows without
@@ -24,7 +24,7 @@ from opsight.llm.common import raw, slices, window_hashes, word_hashes
 from opsight.llm.linear import Sparse, fit, platt, sigmoid
 
 BITS = 20
-COLUMNS = 3 << BITS  # words, word pairs, byte 4-grams
+COLUMNS = 3 << BITS  # words, word pairs, 4-grams of code points
 #: The bounded sample: labelled rows, of which every fifth calibrates.
 SAMPLE_ROWS = 2_000
 STEPS = 40
@@ -39,15 +39,21 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def features(texts: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(column, text number) of every word, of every pair of neighbouring words and of every 4-gram of bytes."""
+    """(column, text number) of every word, of every pair of neighbouring words and of every 4-gram of code points."""
     drop = np.uint64(64 - BITS)
     owner = np.repeat(np.arange(len(texts)), counts)
     pair, at = window_hashes(hashes, counts, 2)
-    whole = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8).astype(np.uint32)
-    four = whole[:-3] | whole[1:-2] << np.uint32(8) | whole[2:-1] << np.uint32(16) | whole[3:] << np.uint32(24)
-    chars = np.repeat(np.arange(len(texts)), np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-    inside = chars[:-3] == chars[3:]  # the line end after each text counts as its last byte
-    gram = (four[inside] * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+    # The line end after each text counts as its last code point.
+    joined = b"\n".join(texts) + b"\n"
+    whole = np.frombuffer(joined.decode().encode("utf-32-le"), "<u4").astype(np.uint64)
+    starts = np.cumsum((np.frombuffer(joined, np.uint8) & 0xC0) != 0x80)  # code points up to each byte
+    ends = starts[np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))) - 1]
+    chars = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+    four = whole[:-3]
+    for i in range(1, 4):
+        four = (four << np.uint64(13)) ^ whole[i:len(whole) - 3 + i]
+    inside = chars[:-3] == chars[3:]
+    gram = (four[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
     return [((hashes >> drop).astype(np.int64), owner), ((pair >> drop).astype(np.int64) + (1 << BITS), owner[at]),
             (gram.astype(np.int64) + (2 << BITS), chars[:-3][inside])]
 

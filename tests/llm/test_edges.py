@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsight.llm import extract, fingerprint, language, mixing, near, packing, quality, queries, secrets, tokens, toxicity
+from opsight.llm import (extract, fingerprint, language, mixing, near, negatives, packing, quality, queries, runs, scoring,
+                         secrets, tokens, toxicity)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, id string, t int, spans int"
 LONG = " ".join(f"word{i % 977}" for i in range(40_000))
@@ -38,6 +39,10 @@ RUNS = {
     "packing": lambda d: packing.pack(d, queries.tokenizer()),
     "mixing": lambda d: mixing.mix(d, queries.mix_levels()),
     "fingerprint": fingerprint.fingerprints,
+    "scoring": lambda d: scoring.score(d, F.lit(True)),
+    "runs": lambda d: runs.find(d, prepare=runs.periodic),
+    "negatives": lambda d: negatives.hard_negatives(
+        d.withColumn("v", F.array(F.lit(1.0))), F.lit(True), key="doc_id", vector="v", label="t"),
     "extract": lambda d: extract.extract(d, extract.train(extract.PAGES[:3]), page="text", keep=("doc_id", "t")),
 }
 
@@ -47,7 +52,7 @@ def test_empty_table(none, name):
     assert RUNS[name](none).collect() == []
 
 
-@pytest.mark.parametrize("name", ["language", "quality", "toxicity", "secrets", "near", "tokens", "extract"])
+@pytest.mark.parametrize("name", ["language", "quality", "toxicity", "secrets", "near", "tokens", "extract", "scoring", "runs"])
 def test_every_row_comes_back(docs, name):
     found = [r["doc_id"] for r in RUNS[name](docs).collect()]
     assert sorted(found, key=str) == sorted((k for k, _ in TEXTS), key=str)
@@ -81,3 +86,30 @@ def test_mixing_without_budget(docs):
     assert mixing.mix(docs, queries.mix_levels(), total=0).collect() == []
     rows = mixing.mix(docs, queries.mix_levels(), total=1e12).collect()
     assert len(rows) == 2 * len(TEXTS)
+
+
+def test_mixing_keeps_clashing_columns(spark, docs):
+    """Columns named as those used inside come back as they went in."""
+    named = docs.withColumns({c: F.lit(i) for i, c in enumerate(
+        ("mix_text", "mix_key", "mix_left", "mix_end", "mix_times", "mix_full", "tokens", "row", "part", "h", "supply"))})
+    found = mixing.mix(named, queries.mix_levels(), total=1e12, report=False)
+    assert found.columns == named.columns
+    rows = found.collect()
+    assert len(rows) == 2 * len(TEXTS) and {(r["mix_text"], r["mix_left"], r["tokens"], r["row"]) for r in rows} == {(0, 2, 6, 7)}
+
+
+def test_clashing_names_inside(spark, docs):
+    named = docs.withColumns({c: F.lit("x") for c in ("_whole_text", "key", "t2", "ids", "place", "shard", "name", "tie", "word", "bits")})
+    for name in ("toxicity", "packing", "fingerprint", "near", "scoring", "runs", "tokens", "language", "quality", "secrets"):
+        assert len(RUNS[name](named).collect()) >= 12, name
+
+
+def test_pipeline_of_an_empty_table(spark, none, tmp_path):
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_string_key_named_null(spark):
+    docs = spark.createDataFrame([("null", "a b c d e f"), (None, "x y z"), ("k", "a b c d e f g")], "doc_id string, text string")
+    found = {r["doc_id"]: r for r in fingerprint.fingerprints(docs).collect()}
+    assert set(found) == {"null", None, "k"} and found["null"]["n_chars"] == 11 and found[None]["n_chars"] == 5
