@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opsight.functions.scalar import case_ladder, col
-from opsight.operators.quantiles import cumulate, distinct_counts, quantiles_of_counts
+from opsight.operators.quantiles import cumulate, distinct_counts, quantiles_of_ranks, splits_for
 from opsight.session import materialise
 
 PSI_WARNING, PSI_CRITICAL, MAE_FACTOR, EPSILON = 0.10, 0.25, 1.5, 0.0001
@@ -43,18 +45,31 @@ def feature_counts(base: DataFrame, cur: DataFrame, columns: Sequence[str]) -> D
     )
 
 
+def feature_ranks(base: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct values of each feature with counts, running counts and totals of both sides, written once.
+
+    Values are dealt to as many ranges as their number asks for and moved by (feature, range) once.
+    Features are columns of the caller, so tables with some rows for each of them are broadcast.
+    """
+    counts = feature_counts(base, cur, columns)
+    totals = counts.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
+    ranked = cumulate(counts, ["feature"], "value", ["nb", "nc"], splits_for(counts.count() // max(1, len(columns))), few=True)
+    return materialise(ranked.join(F.broadcast(totals), "feature"))
+
+
 def psi(base: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Population stability index per feature on baseline quantile bins.
 
     The last bin is closed. Current values outside the baseline range fall in no bin but stay
     in the denominator. Fewer than three distinct edges give 0, an empty side gives NULL.
     """
-    return psi_of_counts(feature_counts(base, cur, columns), bins)
+    return psi_of_ranks(feature_ranks(base, cur, columns), bins)
 
 
-def psi_of_counts(counts: DataFrame, bins: int = 10) -> DataFrame:
-    baseline = counts.filter(F.col("nb") > 0).select("feature", F.col("value").alias("_x"), F.col("nb").alias("_n"))
-    edges = quantiles_of_counts(baseline, ["feature"], [i / bins for i in range(bins + 1)]).select(
+def psi_of_ranks(counts: DataFrame, bins: int = 10) -> DataFrame:
+    baseline = counts.filter(F.col("nb") > 0).select(
+        "feature", F.col("value").alias("_x"), F.col("nb").alias("_n"), F.col("cum_nb").alias("cum__n"), F.col("tb").alias("_total"))
+    edges = quantiles_of_ranks(baseline, ["feature"], [i / bins for i in range(bins + 1)]).select(
         "feature", F.array_sort(F.array_distinct("quantiles")).alias("edges")
     )
     # One edge row per feature, at most as many as there are columns.
@@ -81,18 +96,62 @@ def psi_of_counts(counts: DataFrame, bins: int = 10) -> DataFrame:
     )
 
 
-def ks_2samp(base: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov distance per feature with its asymptotic p-value."""
-    return ks_of_counts(feature_counts(base, cur, columns))
+#: Rows of the larger side up to which the p-value is exact.
+EXACT = 10_000
 
 
-def ks_of_counts(counts: DataFrame) -> DataFrame:
-    ranked = cumulate(counts, ["feature"], "value", ["nb", "nc"])
-    totals = counts.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
+def ks_2samp(base: DataFrame, cur: DataFrame, columns: Sequence[str], exact: int = EXACT) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance per feature with its two-sided p-value.
+
+    The p-value is exact where neither side has more than ``exact`` rows, asymptotic otherwise.
+    """
+    return ks_of_ranks(feature_ranks(base, cur, columns), exact)
+
+
+def paths_beyond(n: int, m: int, reach: int) -> float:
+    """Share of the orders of n and m values in which some |i m - j n| reaches ``reach``: P(D >= reach / (n m)).
+
+    Orders are lattice paths from (0, 0) to (n, m). Diagonal by diagonal, each point has the chance
+    that a random path passes it without having left the band; what steps out of the band adds up
+    to the answer, so small chances keep their digits.
+    """
+    i = np.arange(n + 1)
+    at, out = np.zeros(n + 1), 0.0
+    at[0] = 1.0 if reach > 0 else 0.0
+    out = 1.0 - at[0]
+    for k in range(1, n + m + 1):
+        # The paths at (i, k - 1 - i) go on to i + 1 or stay at i, as many values of each side are left.
+        left = n + m - k + 1
+        new = at * np.clip(m - (k - 1 - i), 0, None) / left
+        new[1:] += at[:-1] * (n - i[:-1]) / left
+        beyond = np.abs(i * m - (k - i) * n) >= reach
+        out += float(new[beyond].sum())
+        new[beyond] = 0.0
+        at = new
+    return min(1.0, out)
+
+
+def ks_of_ranks(ranked: DataFrame, exact: int = EXACT) -> DataFrame:
     gap = F.abs(F.try_divide("cum_nb", "tb") - F.try_divide("cum_nc", "tc"))
-    stats = ranked.join(totals, "feature").groupBy("feature").agg(
-        F.max(gap).alias("ks_statistic"), F.max("tb").alias("tb"), F.max("tc").alias("tc")
+    # The same gap in whole numbers, for the path count; it is used for small sides only.
+    apart = F.abs(F.col("cum_nb") * F.col("tc") - F.col("cum_nc") * F.col("tb"))
+    small = F.greatest("tb", "tc") <= exact
+    stats = ranked.groupBy("feature").agg(
+        F.max(gap).alias("ks_statistic"), F.max("tb").alias("tb"), F.max("tc").alias("tc"),
+        F.max(F.when(small, apart)).alias("reach")
     )
+    if exact > 0:
+        # One row for each feature.
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = batch.to_pylist()
+                p = [paths_beyond(r["tb"], r["tc"], r["reach"]) if r["reach"] is not None and min(r["tb"], r["tc"]) > 0 else None
+                     for r in rows]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*batch.schema.names, "exact_p"])
+
+        stats = stats.mapInArrow(count, "feature string, ks_statistic double, tb long, tc long, reach long, exact_p double")
+    else:
+        stats = stats.withColumn("exact_p", F.lit(None).cast("double"))
     tb, tc = F.col("tb").cast("double"), F.col("tc").cast("double")
     lam = F.sqrt(F.try_divide(tb * tc, tb + tc)) * F.col("ks_statistic")
     series = F.aggregate(
@@ -102,15 +161,16 @@ def ks_of_counts(counts: DataFrame) -> DataFrame:
         + F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0)) * F.exp(-2.0 * k * k * F.col("_l") * F.col("_l")),
     )
     p = F.when(F.col("_l") < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
-    return stats.withColumn("_l", lam).withColumn("ks_pvalue", p).select("feature", "ks_statistic", "ks_pvalue")
+    return stats.withColumn("_l", lam).withColumn("ks_pvalue", F.coalesce("exact_p", p)) \
+        .select("feature", "ks_statistic", "ks_pvalue")
 
 
-def drift_report(base: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Means, PSI and KS of each feature."""
-    counts = feature_counts(base, cur, columns)
+def drift_report(base: DataFrame, cur: DataFrame, columns: Sequence[str], exact: int = EXACT) -> DataFrame:
+    """Means, PSI and KS of each feature, all from one table of running counts."""
+    ranked = feature_ranks(base, cur, columns)
     mean = lambda n: F.try_divide(F.sum(F.col("value") * F.col(n)), F.sum(n))
-    means = counts.groupBy("feature").agg(mean("nb").alias("baseline_mean"), mean("nc").alias("current_mean"))
-    joined = means.join(psi_of_counts(counts), "feature").join(ks_of_counts(counts), "feature")
+    means = ranked.groupBy("feature").agg(mean("nb").alias("baseline_mean"), mean("nc").alias("current_mean"))
+    joined = means.join(psi_of_ranks(ranked), "feature").join(ks_of_ranks(ranked, exact), "feature")
     return joined.withColumn("mean_diff", F.col("current_mean") - F.col("baseline_mean")).withColumn(
         "psi_level", psi_level("psi")
     )

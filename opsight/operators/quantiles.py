@@ -30,16 +30,26 @@ def count_below(sorted_array: Column, v: Column, size: int) -> Column:
     )
 
 
-def value_ranges(df: DataFrame, keys: Sequence[str], value: str, out: str, splits: int = SPLITS) -> DataFrame:
+#: Rows that a range is meant to have, and the bounds on the number of ranges.
+RANGE_ROWS, LEAST_SPLITS, MOST_SPLITS = 100_000, 16, 4096
+
+
+def splits_for(rows: int) -> int:
+    """How many ranges so many rows are cut into."""
+    return max(LEAST_SPLITS, min(MOST_SPLITS, -(-rows // RANGE_ROWS)))
+
+
+def value_ranges(df: DataFrame, keys: Sequence[str], value: str, out: str, splits: int = SPLITS, few: bool = False) -> DataFrame:
     """Add the number of the split range each value falls in; ranges are ordered like values.
 
-    Equal values always share a range. The split table has one row per key.
+    Equal values always share a range. The split table has one row per key; it is broadcast where
+    the caller knows the keys to be ``few``, as names of columns are.
     """
     grid = F.array(*[F.lit(i / splits) for i in range(1, splits)])
     v = F.col(value)
     if keys:
-        table = df.groupBy(*keys).agg(F.percentile_approx(v, grid, F.lit(10_000)).alias("_splits"))
-        joined = df.join(table, list(keys))
+        table = df.groupBy(*keys).agg(F.percentile_approx(v, grid, F.lit(min(10_000, 40 * splits))).alias("_splits"))
+        joined = df.join(F.broadcast(table) if few else table, list(keys))
     else:
         joined = df.withColumn("_splits", df.agg(F.percentile_approx(v, grid, F.lit(10_000)).alias("s")).scalar())
     return joined.withColumn(out, count_below(F.col("_splits"), v, splits)).drop("_splits")
@@ -51,12 +61,13 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], value: str, extra: dict[
     return df.groupBy(*keys, value).agg(*[c.alias(n) for n, c in aggs.items()])
 
 
-def cumulate(counts: DataFrame, keys: Sequence[str], value: str, sums: Sequence[str], splits: int = SPLITS) -> DataFrame:
+def cumulate(counts: DataFrame, keys: Sequence[str], value: str, sums: Sequence[str], splits: int = SPLITS,
+             few: bool = False) -> DataFrame:
     """Running totals of ``sums`` in value order, per key, as ``cum_<name>`` (current row included).
 
     Ordered inside each split range, plus the totals of the ranges before it.
     """
-    ranged = value_ranges(counts, keys, value, "_range", splits)
+    ranged = value_ranges(counts, keys, value, "_range", splits, few)
     totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -64,7 +75,7 @@ def cumulate(counts: DataFrame, keys: Sequence[str], value: str, sums: Sequence[
     )
     inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumns({f"_l_{s}": F.sum(s).over(inside) for s in sums})
-    joined = local.join(offsets, [*keys, "_range"])
+    joined = local.join(F.broadcast(offsets) if few else offsets, [*keys, "_range"])
     return joined.withColumns({f"cum_{s}": F.col(f"_l_{s}") + F.col(f"_o_{s}") for s in sums}).drop(
         "_range", *[f"_l_{s}" for s in sums], *[f"_o_{s}" for s in sums]
     )
@@ -82,13 +93,18 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
 def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> DataFrame:
     """The same from a table of distinct values ``_x`` and their counts ``_n``."""
     ranked = cumulate(counts, keys, "_x", ["_n"])
-    # Ranks are 0-based; the value v covers ranks (cum - n) .. (cum - 1).
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total")) if keys else None
     sized = (
         ranked.join(totals, list(keys))
         if keys
         else ranked.withColumn("_total", counts.agg(F.sum("_n").alias("t")).scalar())
     )
+    return quantiles_of_ranks(sized, keys, qs)
+
+
+def quantiles_of_ranks(sized: DataFrame, keys: Sequence[str], qs: Sequence[float]) -> DataFrame:
+    """The same where the running counts ``cum__n`` and the group's size ``_total`` are known."""
+    # Ranks are 0-based; the value v covers ranks (cum - n) .. (cum - 1).
     wanted = F.array(
         *[
             F.struct(F.lit(i).alias("i"), (F.lit(float(q)) * (F.col("_total") - 1)).alias("at"))

@@ -265,3 +265,35 @@ def test_topk_searches_repeated_and_null_ids(spark):
                                     "query_id long, embedding array<double>").coalesce(1)
     found = vector_topk(queries, base, 2, query_block=2, base_block=3).filter("distance < 0.5").collect()
     assert {(r["query_id"], r["vec_id"]) for r in found} == {(2, 0), (2, 1), (None, 2), (5, 3)}
+
+
+def test_exact_ks_over_all_arrangements():
+    """P(D >= d) by counting every order of 5 and 6 values, and of some other sizes."""
+    from itertools import combinations
+    from math import comb
+
+    from opsight.operators.drift import paths_beyond
+
+    for n, m in ((5, 6), (1, 1), (1, 4), (4, 4), (6, 3)):
+        reached = []
+        for places in combinations(range(n + m), n):
+            i = j = most = 0
+            for at in range(n + m):
+                i, j = (i + 1, j) if at in places else (i, j + 1)
+                most = max(most, abs(i * m - j * n))
+            reached.append(most)
+        for d in range(0, n * m + 1):
+            assert abs(paths_beyond(n, m, d) - sum(x >= d for x in reached) / comb(n + m, n)) < 1e-12
+    assert 0.9 < paths_beyond(3000, 2500, 100_000) <= 1.0 and paths_beyond(3000, 2500, 3000 * 2500) < 1e-9
+
+
+def test_ks_is_exact_for_small_sides_and_asymptotic_beyond(spark):
+    from opsight.operators.drift import ks_2samp
+
+    base = spark.createDataFrame([(float(i),) for i in range(5)], "x double")
+    cur = spark.createDataFrame([(float(i) + 2.5,) for i in range(6)], "x double")
+    r = ks_2samp(base, cur, ["x"]).collect()[0]
+    # All of the base and two of six lie at or below 4: D = 20 / 30.
+    assert r["ks_statistic"] == pytest.approx(2 / 3) and r["ks_pvalue"] == pytest.approx(R.paths_beyond(5, 6, 20))
+    far = ks_2samp(base, cur, ["x"], exact=5).collect()[0]
+    assert far["ks_statistic"] == r["ks_statistic"] and far["ks_pvalue"] != r["ks_pvalue"]
