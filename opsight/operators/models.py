@@ -6,17 +6,18 @@ the rows it was given (see :func:`opsight.session.materialise`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import (
     IDF,
-    PCA,
-    CountVectorizer,
+    HashingTF,
     Imputer,
     IndexToString,
     NGram,
@@ -31,7 +32,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from opsight.functions.scalar import bin_label, lookup
 from opsight.operators.metrics import regression_metrics
@@ -43,14 +44,15 @@ from opsight.session import materialise
 
 @dataclass(frozen=True)
 class Features:
-    """Columns of a model. ``vocabulary`` bounds the terms only where it is set."""
+    """Columns of a model. Every term counts: terms are hashed into ``terms`` columns, none is dropped."""
 
     numeric: Sequence[str] = ()
     categorical: Sequence[str] = ()
     text: str | None = None
     label: str | None = None
+    #: Rows that a term must be in; the weight of a rarer one is 0.
     min_df: int = 2
-    vocabulary: int = 2**31 - 1
+    terms: int = 1 << 18
     #: Language whose stop words are left out before words are paired.
     stop_words: str | None = None
 
@@ -103,8 +105,8 @@ def feature_stages(spec: Features, scale: bool = True, modes: dict[str, str] | N
         stages += [
             NGram(n=2, inputCol="txt__one", outputCol="txt__two"),
             SQLTransformer(statement="SELECT *, concat(txt__one, txt__two) AS txt__all FROM __THIS__"),
-            CountVectorizer(inputCol="txt__all", outputCol="txt__tf", minDF=spec.min_df, vocabSize=spec.vocabulary),
-            IDF(inputCol="txt__tf", outputCol="txt__idf"),
+            HashingTF(inputCol="txt__all", outputCol="txt__tf", numFeatures=spec.terms),
+            IDF(inputCol="txt__tf", outputCol="txt__idf", minDocFreq=spec.min_df),
             Normalizer(inputCol="txt__idf", outputCol="txt__vec", p=2.0),
         ]
         parts.append("txt__vec")
@@ -155,11 +157,12 @@ def train_classifier(
     return Pipeline(stages=[*stages, forest]).fit(weighted(df, spec.label))
 
 
-def train_logistic(df: DataFrame, spec: Features, iterations: int = 30) -> PipelineModel:
-    """Logistic regression with balanced class weights."""
+def train_logistic(df: DataFrame, spec: Features, iterations: int = 10_000) -> PipelineModel:
+    """Logistic regression with balanced class weights, run until it converges."""
     df = materialise(df)
     model = LogisticRegression(labelCol=spec.label, weightCol="class_weight", maxIter=iterations)
-    return Pipeline(stages=[*feature_stages(spec), model]).fit(weighted(df, spec.label))
+    stages = feature_stages(spec, modes=fill_modes(df, spec.categorical))
+    return Pipeline(stages=[*stages, model]).fit(weighted(df, spec.label))
 
 
 def score_risk(model: Model, df: DataFrame, out: str = "failure_probability") -> DataFrame:
@@ -168,13 +171,14 @@ def score_risk(model: Model, df: DataFrame, out: str = "failure_probability") ->
     return tidy(scored).drop("probability")
 
 
-def train_text_classifier(df: DataFrame, spec: Features, iterations: int = 100) -> PipelineModel:
+def train_text_classifier(df: DataFrame, spec: Features, iterations: int = 1_000) -> PipelineModel:
     """Text, category and number features into a multiclass logistic model over string labels."""
     df = materialise(df)
     labels = StringIndexer(inputCol=spec.label, outputCol="label__ix").fit(df)
     model = LogisticRegression(labelCol="label__ix", weightCol="class_weight", maxIter=iterations)
     names = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels.labels)
-    inner = Pipeline(stages=[labels, *feature_stages(spec), model]).fit(weighted(df, spec.label))
+    stages = feature_stages(spec, modes=fill_modes(df, spec.categorical))
+    inner = Pipeline(stages=[labels, *stages, model]).fit(weighted(df, spec.label))
     # Scoring needs no label: keep the fitted label indexer out of the scoring pipeline.
     return PipelineModel(stages=[*inner.stages[1:], names])
 
@@ -190,7 +194,8 @@ def classify_text(model: Model, df: DataFrame, routing: dict[str, str] | None =
 def cluster_sweep(df: DataFrame, spec: Features, ks: Sequence[int] = range(2, 8), seed: int = 42) -> DataFrame:
     """Silhouette for each number of clusters; features are computed once."""
     df = materialise(df)
-    features = Pipeline(stages=feature_stages(spec)).fit(df).transform(df).select("features").persist()
+    stages = feature_stages(spec, modes=fill_modes(df, spec.categorical))
+    features = Pipeline(stages=stages).fit(df).transform(df).select("features").persist()
     try:
         judge = ClusteringEvaluator(featuresCol="features", metricName="silhouette")
         rows = [
@@ -203,21 +208,104 @@ def cluster_sweep(df: DataFrame, spec: Features, ks: Sequence[int] = range(2, 8)
 
 
 def train_clusters(df: DataFrame, spec: Features, k: int = 5, seed: int = 42) -> PipelineModel:
-    means = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id")
-    return Pipeline(stages=[*feature_stages(spec), means]).fit(materialise(df))
+    means, df = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id"), materialise(df)
+    return Pipeline(stages=[*feature_stages(spec, modes=fill_modes(df, spec.categorical)), means]).fit(df)
 
 
 def assign_clusters(model: Model, df: DataFrame) -> DataFrame:
     return tidy(model.transform(df))
 
 
-def reduce_2d(df: DataFrame, spec: Features) -> DataFrame:
-    """Two principal components for inspection. Components are centred, unlike a plain SVD."""
+def reduce_2d(df: DataFrame, spec: Features, key: str) -> DataFrame:
+    """Key and the two coordinates of a truncated singular value decomposition of the features, which are not centred."""
     df = materialise(df)
-    pca = PCA(k=2, inputCol="features", outputCol="pc")
-    out = Pipeline(stages=[*feature_stages(spec), pca]).fit(df).transform(df)
-    xy = vector_to_array("pc")
-    return tidy(out.withColumns({"pc_1": xy[0], "pc_2": xy[1]})).drop("pc")
+    features = Pipeline(stages=feature_stages(spec, modes=fill_modes(df, spec.categorical))).fit(df).transform(df)
+    return truncated_svd(features.select(key, "features"), "features", 2).select(
+        key, F.col("coordinates")[0].alias("pc_1"), F.col("coordinates")[1].alias("pc_2"))
+
+
+def truncated_svd(df: DataFrame, vector: str, k: int, extra: int = 14, rounds: int = 60, tolerance: float = 1e-9,
+                  seed: int = 7) -> DataFrame:
+    """The columns of ``df`` but ``vector``, and ``coordinates`` on the first ``k`` right singular vectors.
+
+    Subspace iteration from a random basis of ``k + extra`` vectors: each round reads the sparse
+    rows once, every task adds up its part of ``A'(A Q)`` and sends it in blocks of columns, which
+    are summed by block. The driver holds that matrix alone, vector length times ``k + extra``,
+    and stops once the wanted vectors stay within the tolerance. Signs make the largest weight of
+    each vector positive.
+    """
+    rest = [c for c in df.columns if c != vector]
+    sparse = F.unwrap_udt(vector)
+    dense = F.transform(sparse["values"], lambda _, i: i)
+    rows = materialise(df.select(*rest, sparse["size"].alias("_size"), sparse["values"].alias("_values"),
+                                 F.coalesce(sparse["indices"], dense).alias("_places")))
+    size = rows.agg(F.max(F.coalesce("_size", F.size("_values")))).first()[0] or 0
+    width = min(k + extra, size)
+    if not size:
+        return rows.select(*rest, F.array().cast("array<double>").alias("coordinates"))
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, width)))[0]
+    context = df.sparkSession.sparkContext
+    for _ in range(rounds):
+        sent = context.broadcast(basis)
+        parts = rows.select("_places", "_values").mapInArrow(_spread_back(sent, size, width), "block int, cells binary")
+        summed = parts.groupBy("block").applyInArrow(_sum_blocks, "block int, cells binary").toArrow().sort_by("block")
+        image = np.concatenate([np.frombuffer(v) for v in summed.column("cells").to_pylist()]).reshape(size, width)
+        sent.destroy()
+        values, turn = np.linalg.eigh(basis.T @ image)
+        found = basis @ turn[:, ::-1][:, :k]
+        # A vector of the space is right where A'A only stretches it.
+        off = np.linalg.norm(image @ turn[:, ::-1][:, :k] - found * values[::-1][:k], axis=0)
+        if (off <= tolerance * max(values[-1], 1e-300)).all():
+            break
+        basis = np.linalg.qr(image)[0]
+    top = found * np.sign(found[np.abs(found).argmax(axis=0), np.arange(found.shape[1])])
+    sent = context.broadcast(top)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, values, owner = _cells(batch)
+            at = np.stack([np.bincount(owner, values * c, batch.num_rows) for c in sent.value[places].T], axis=1)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(at.tolist(), pa.list_(pa.float64()))],
+                                             names=[*rest, "coordinates"])
+
+    shape = T.StructType([*rows.select(*rest).schema.fields, T.StructField("coordinates", T.ArrayType(T.DoubleType()))])
+    return rows.mapInArrow(project, shape)
+
+
+#: Columns of a matrix that travel in one row.
+BLOCK = 1 << 15
+
+
+def _cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Column, value and row number of every cell of sparse rows."""
+    places, values = batch.column("_places"), batch.column("_values")
+    sizes = np.diff(values.offsets.to_numpy())
+    return (places.flatten().to_numpy().astype(np.int64), values.flatten().to_numpy(),
+            np.repeat(np.arange(batch.num_rows), sizes))
+
+
+def _spread_back(sent, size: int, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        basis, total = sent.value, np.zeros((size, width))
+        for batch in batches:
+            places, values, owner = _cells(batch)
+            if not len(places):
+                continue
+            used, number = np.unique(places, return_inverse=True)
+            for c in range(width):
+                image = np.bincount(owner, values * basis[places, c], batch.num_rows)
+                total[used, c] += np.bincount(number, values * image[owner], len(used))
+        edges = range(0, size, BLOCK)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(edges)), pa.int32()), pa.array([total[a:a + BLOCK].tobytes() for a in edges], pa.binary())],
+            names=["block", "cells"])
+
+    return run
+
+
+def _sum_blocks(table: pa.Table) -> pa.Table:
+    cells = sum(np.frombuffer(v) for v in table.column("cells").to_pylist())
+    return pa.table({"block": table.column("block").slice(0, 1), "cells": pa.array([cells.tobytes()], pa.binary())})
 
 
 def regressor(kind: str, label: str, trees: int = 300, depth: int | None = 6, leaf: int = 2, seed: int = 42):

@@ -10,6 +10,7 @@ from opsight.operators import isolation as I, models as M
 from opsight.plans.streams import stream
 from opsight.sources import files as FS, tables as T
 from opsight.streaming import pipelines as S
+from tests.conftest import SF_DIR
 
 
 def test_csv_refuses_missing_columns(spark, tmp_path):
@@ -172,5 +173,49 @@ def test_text_vectors_have_unit_length_and_no_stop_words(spark):
     fitted = M.Pipeline(stages=M.feature_stages(M.Features(text="t", min_df=1, stop_words="english"))).fit(df)
     norms = fitted.transform(df).select(M.vector_to_array("txt__vec").alias("v")).collect()
     assert [round(sum(x * x for x in r["v"]), 9) for r in norms] == [1.0, 1.0]
-    terms = {t for s in fitted.stages if hasattr(s, "vocabulary") for t in s.vocabulary}
+    terms = {t for r in fitted.transform(df).select("txt__all").collect() for t in r[0]}
     assert "disk full" in terms and not {"the", "is", "and"} & terms
+
+
+def test_truncated_svd_equals_numpy(spark):
+    """Coordinates on the first two right singular vectors, up to sign, of all terms' weights, not centred."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "source", F.col("n_chars").cast("double"))
+    spec = M.Features(numeric=["n_chars"], categorical=["source"], text="text", min_df=1, terms=1 << 12)
+    fitted = M.Pipeline(stages=M.feature_stages(spec)).fit(docs)
+    rows = fitted.transform(docs).select("doc_id", M.vector_to_array("features").alias("v")).orderBy("doc_id").collect()
+    a = np.array([r["v"] for r in rows])
+    v = np.linalg.svd(a, full_matrices=False)[2][:2].T
+    want = a @ v
+    got = np.array([(r["pc_1"], r["pc_2"]) for r in M.reduce_2d(docs, spec, "doc_id").orderBy("doc_id").collect()])
+    assert np.abs(np.abs(got) - np.abs(want)).max() < 1e-6
+
+
+def test_truncated_svd_of_little(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(1, Vectors.dense(2.0, 0.0)), (2, Vectors.sparse(2, [1], [1.0])), (3, Vectors.sparse(2, [], []))],
+                               ["id", "f"])
+    got = {r["id"]: [round(x, 9) for x in r["coordinates"]] for r in M.truncated_svd(df, "f", 2).collect()}
+    assert got == {1: [2.0, 0.0], 2: [0.0, 1.0], 3: [0.0, 0.0]}
+    assert M.truncated_svd(df.limit(0), "f", 2).collect() == []
+
+
+def test_level_shifts_are_found_on_their_day(spark):
+    """Planted shifts of two series, one of which rises and falls; a flat series has none."""
+    from datetime import date, timedelta
+
+    from opsight.operators.forecast import adjust_steps, step_changes
+
+    rng = np.random.default_rng(2)
+    rows, start = [], date(2024, 1, 1)
+    for day in range(200):
+        noise = rng.normal(size=3)
+        rows += [("up", start + timedelta(day), float(10 + 8 * (day >= 70) + noise[0])),
+                 ("both", start + timedelta(day), float(20 + 9 * (day >= 50) - 15 * (day >= 140) + noise[1])),
+                 ("flat", start + timedelta(day), float(noise[2])), ("short", start, 1.0)]
+    df = spark.createDataFrame(rows + [(None, start, 1.0), ("up", None, 99.0), ("flat", start, None)], "k string, d date, y double")
+    got = sorted((r["k"], (r["changed_at"] - start).days, round(r["level_after"] - r["level_before"]))
+                 for r in step_changes(df, "k", "d", "y", penalty=6.0).filter("k <> 'short'").collect())
+    assert got == [("both", 50, 9), ("both", 140, -15), ("up", 70, 8)]
+    level = adjust_steps(df, "k", "d", "y", penalty=6.0).filter("k = 'both'").toPandas().sort_values("d")["y"].to_numpy()
+    assert abs(level[:50].mean() - 14) < 0.6 and abs(level[50:140].mean() - 14) < 0.6
