@@ -13,6 +13,7 @@ from opsight.plans.text import replace_sql
 from opsight.plans.views import VIEWS
 from opsight.sources import files as FS, messages as M, tables as T
 from opsight.streaming import pipelines as S
+from opsight.streaming.parse import dead_letters, normalised, parse_messages
 
 
 def stream(t, view: str) -> DataFrame:
@@ -31,6 +32,30 @@ def write_split(t):
     return parts[0].union(parts[1])
 
 
+@query("restart_split", f"""
+WITH {events_sql().strip()},
+rows AS (SELECT event_id, 'events' AS sink FROM n WHERE {GOOD} UNION ALL SELECT event_id, 'dead' FROM n WHERE NOT ({GOOD}))
+SELECT event_id, sink, 1 AS restarts, CAST(count(*) AS BIGINT) AS n FROM rows GROUP BY event_id, sink""")
+def restart_split(t):
+    """The split whose second write fails once after the first was done, then goes on from its checkpoint."""
+    folder, failures = S.scratch(t.spark, "restart"), []
+
+    def dead(batch: DataFrame) -> DataFrame:
+        if not failures:
+            failures.append("the sink is gone")
+            raise ConnectionError(failures[0])
+        return dead_letters(batch)
+
+    def start():
+        rows = parse_messages(stream(t, "messages"), "raw")
+        return M.write_split(rows, {"events": normalised, "dead": dead}, folder, f"{folder}/checkpoint")
+
+    restarts = S.run_restarting(start)
+    parts = [t.spark.read.parquet(f"{folder}/{s}").select("event_id", F.lit(s).alias("sink")) for s in ("events", "dead")]
+    return parts[0].union(parts[1]).groupBy("event_id", "sink").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "restarts", F.lit(restarts))
+
+
 @query("classify_stream", REGISTRY["classify_event"].sql)
 def classify_stream(t):
     return S.run_to_end(S.classify_stream(stream(t, "messages")), "classify").select(

@@ -7,7 +7,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from opsight.functions.nested import decode_message
 from opsight.operators import decisions as D
@@ -169,6 +171,22 @@ def run_to_end(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_restarting(start: Callable[[], StreamingQuery], restarts: int = 3) -> int:
+    """Runs a query to its end, starting it again from its checkpoint after a failure; the number of restarts.
+
+    Unacknowledged input is what the checkpoint has not committed: the batch that failed is given to the sink again under
+    its old number, and a sink that owns a folder per number replaces what it had written of it.
+    """
+    for tried in range(restarts + 1):
+        try:
+            start().awaitTermination()
+            return tried
+        except StreamingQueryException:
+            if tried == restarts:
+                raise
+    return restarts
+
+
 def run_split(start: Callable[[str, str], object], spark: SparkSession, name: str) -> str:
     """Run a several-sink query to its end and return its folder."""
     folder = scratch(spark, name)
