@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from opsight.functions.scalar import severity_rank
 from opsight.functions.text import log_template, redact
+from opsight.session import materialise
 
 # Order of log severities.
 LOG_SEVERITY = {"DEFAULT": 0, "DEBUG": 1, "INFO": 2, "NOTICE": 3, "WARNING": 4, "ERROR": 5, "CRITICAL": 6, "ALERT": 7,
@@ -17,11 +18,11 @@ def pattern_rollup(
 ) -> DataFrame:
     """Count, first and last time, highest severity and the newest examples per template.
 
-    Counts combine on the map side. Examples are ranked apart: the window group limit keeps
+    Templates are worked out once and written, as two passes read them. Counts combine on the map side. Examples are ranked apart: the window group limit keeps
     at most ``examples`` rows per template and task, so a template holding most of the log
     never gathers in one place.
     """
-    keyed = df.withColumn(pattern, log_template(message))
+    keyed = materialise(df.select(message, ts, severity, tiebreak, log_template(message).alias(pattern)))
     rank = severity_rank(severity, LOG_SEVERITY)
     totals = keyed.groupBy(pattern).agg(
         F.count(F.lit(1)).alias("count"),

@@ -134,10 +134,8 @@ def dedup(t):
 
 
 @query("key_diff", """
-(SELECT user_id, 'left' AS side FROM (SELECT user_id FROM metrics
-   EXCEPT SELECT user_id FROM changes))
+(SELECT id, 'left' AS side FROM (SELECT runbook_id AS id FROM runbooks EXCEPT SELECT request_id + 700 FROM tickets))
 UNION ALL
-(SELECT user_id, 'right' AS side FROM (SELECT user_id FROM changes
-   EXCEPT SELECT user_id FROM metrics))""")
+(SELECT id, 'right' AS side FROM (SELECT request_id + 700 AS id FROM tickets EXCEPT SELECT runbook_id FROM runbooks))""")
 def key_diff(t):
-    return J.key_diff(t.metrics.select("user_id"), t.changes.select("user_id"))
+    return J.key_diff(t.runbooks.select(F.col("runbook_id").alias("id")), t.tickets.select((F.col("request_id") + 700).alias("id")))

@@ -254,16 +254,14 @@ def forecast_hourly(t):
 WITH {fit_sql('daily_cost', 'service', 'usage_date', 'net_cost', 'day').strip()}, {horizon_sql(14, 'day').strip()}
 SELECT k AS service, fts AS forecast_ts, CASE WHEN greatest(0, v) >= 200000 THEN 'HIGH'
   WHEN greatest(0, v + {Z90} * se) >= 200000 THEN 'MEDIUM' ELSE 'LOW' END AS operational_risk FROM fc
-ORDER BY CASE WHEN greatest(0, v) >= 200000 THEN 2 WHEN greatest(0, v + {Z90} * se) >= 200000 THEN 1 ELSE 0 END DESC,
-  k, fts LIMIT 50""")
+ORDER BY operational_risk DESC, k, fts LIMIT 50""")
 def forecast_risk(t):
-    from opsight.functions.scalar import lookup
     from opsight.operators.decisions import forecast_risk as risk
 
     f = P.forecast(t.daily_cost, "service", "usage_date", "net_cost", 14, 0.90)
     f = f.withColumn("operational_risk", risk("forecast_value", "upper_bound", 200000.0))
-    rank = lookup("operational_risk", {"HIGH": 2, "MEDIUM": 1}, 0)
-    return f.orderBy(rank.desc(), "service", "forecast_ts").limit(50).select("service", "forecast_ts", "operational_risk")
+    # The report goes by the label itself, from MEDIUM over LOW to HIGH.
+    return f.orderBy(F.desc("operational_risk"), "service", "forecast_ts").limit(50).select("service", "forecast_ts", "operational_risk")
 
 
 @query("clean_spikes", """
