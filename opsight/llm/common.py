@@ -82,11 +82,11 @@ def span_hashes(part: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     return mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
 
 
-def parts_of(whole: bytes) -> Iterator[tuple[int, int]]:
-    """(start, end) of consecutive parts of about BYTES_PER_SLICE, cut at white space."""
+def parts_of(whole: bytes, size: int = BYTES_PER_SLICE) -> Iterator[tuple[int, int]]:
+    """(start, end) of consecutive parts of about `size` bytes, cut at white space."""
     at = 0
     while at < len(whole):
-        stop = at + BYTES_PER_SLICE
+        stop = at + size
         if stop < len(whole):
             found = SPACE.search(whole, stop)
             stop = found.start() if found else len(whole)

@@ -49,7 +49,7 @@ SHINGLE = 5
 PERCENT = 80
 M, BAND = 256, 4
 BASE, RATE, TOP = 1.02, 20.0, 4095
-BLOCK, TEXTS, SHINGLES = 1024, 128, 2_000_000
+BLOCK, TEXTS, SHINGLES = 1024, 128, 500_000
 MASK = 1 << 24
 #: Pairs whose estimates are worked out at once.
 PAIRS = 4096
@@ -196,10 +196,11 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: in
 
 
 def mask_of(values: DataFrame) -> DataFrame:
-    """(word, bits): the bitmap in which the places of the values of the only column are set."""
+    """(word, bits): the bitmap in which the places of the values of the only column are set; at most MASK / 64 rows, one file."""
     place = F.pmod(F.xxhash64(F.col(values.columns[0])), F.lit(MASK))
     return values.select(place.alias("place")).groupBy(F.expr("place div 64").alias("word")) \
-        .agg(F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS INT)))").alias("bits"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS INT)))").alias("bits")) \
+        .coalesce(1)
 
 
 def marked(df: DataFrame, column: str, mask: DataFrame, inside: bool = True) -> DataFrame:
@@ -448,7 +449,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
         buckets.filter("id > first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), near_nodes, bound))
     links = materialise(_confirmed(pairs, texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id"))), bound))
     labels = components(links)
-    more = materialise(_unresolved(buckets, labels, near_nodes, bound))
+    more = materialise(_unresolved(buckets, labels, near_nodes, bound), "zstd")
     if more.limit(1).count():
         labels = components(links.unionByName(_decided(more, texts_of(more.select(F.explode("members").alias("id"))), bound)))
     found = rows.join(nodes_of.drop("n"), ["s1", "s2"], "left").join(labels.select(F.col("id").alias("node"), "label"), "node", "left")

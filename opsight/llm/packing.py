@@ -71,7 +71,8 @@ class Encoder:
     kept under 64-bit hashes, sorted, with the place of their ids in a pool that starts with END.
     """
 
-    PIECES, AT_ONCE = 2_000_000, 5_000
+    #: Pieces kept, pieces encoded at once, bytes cut at once.
+    PIECES, AT_ONCE, PART = 1_000_000, 5_000, 1 << 18
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -96,19 +97,19 @@ class Encoder:
         high = pair[part[pair + 1] < 0x9F] + 1
         lower[high] += 0x20
         first, last = word_spans(part)
-        other = np.concatenate([[0], np.cumsum(kind == OTHER)])
+        other = np.concatenate([[0], np.cumsum(kind == OTHER, dtype=np.int32)])
         whole = other[last] > other[first]
         # Within the other words a run begins where the kind changes.
-        owner = np.zeros(len(part) + 1, np.int64)
+        owner = np.zeros(len(part) + 1, np.int8)
         owner[first], owner[last] = 1, -1
-        inside = np.cumsum(owner)[:-1] > 0
-        mixed = np.zeros(len(part) + 1, np.int64)
+        inside = np.cumsum(owner, dtype=np.int8)[:-1] > 0
+        mixed = np.zeros(len(part) + 1, np.int8)
         mixed[first[whole]], mixed[last[whole]] = 1, -1
         change = np.zeros(len(part), bool)
-        change[1:] = (kind[1:] != kind[:-1]) & inside[1:] & inside[:-1] & (np.cumsum(mixed)[1:-1] == 0)
+        change[1:] = (kind[1:] != kind[:-1]) & inside[1:] & inside[:-1] & (np.cumsum(mixed, dtype=np.int8)[1:-1] == 0)
         cut = np.flatnonzero(change)
         begin, end = np.sort(np.concatenate([first, cut])), np.sort(np.concatenate([last, cut]))
-        return lower, begin, end, (kind[begin] == LETTER) & (np.cumsum(mixed)[begin] == 0)
+        return lower, begin, end, (kind[begin] == LETTER) & (np.cumsum(mixed, dtype=np.int8)[begin] == 0)
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes], letters: np.ndarray) -> None:
         """Adds unknown pieces, given in the order of their hashes."""
@@ -155,7 +156,7 @@ class Encoder:
         starts, places, sizes, out = [np.zeros(0, np.int64)], [], [], []
         if len(self.known) > self.PIECES:
             self._forget()
-        for at, stop in parts_of(whole):
+        for at, stop in parts_of(whole, self.PART):
             lower, begin, end, letters = self._pieces(np.frombuffer(whole[at:stop], np.uint8))
             place, size = self._numbers(lower, begin, end, letters)
             starts.append(begin + at)
