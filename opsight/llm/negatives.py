@@ -19,7 +19,7 @@ the three named columns are read, so other names do not matter. Scores must fit
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from heapq import heapify, heappop, heappush, heapreplace
+from heapq import heappop, heappush, heapreplace
 from itertools import groupby
 
 import numpy as np

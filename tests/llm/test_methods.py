@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsight.llm import extract, fingerprint, language, mixing, near, packing, queries, secrets, tokens, toxicity
+from opsight.llm import extract, language, mixing, near, packing, queries, secrets, tokens, toxicity
 from opsight.llm.common import table
 from tests.conftest import SF_DIR
 

@@ -1,6 +1,5 @@
 """Periodic runs against a scan of every period."""
 
-import random
 import re
 import zlib
 from fractions import Fraction
