@@ -97,11 +97,14 @@ def fit_forest(
     pool_share = min(1.0, 4.0 * trees * sample / total)
     pool = rows.filter(unit("_id", F.lit(seed)) < pool_share)
     tree_share = min(1.0, 1.5 * sample / (total * pool_share))
-    drawn = (
-        pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-        .withColumn("_u", unit("_id", "tree", F.lit(seed + 1)))
-        .filter(F.col("_u") < tree_share)
-    )
+    if tree_share > 0.25:  # a pool of at most 6 samples: every row is asked about every tree
+        numbers = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: unit("_id", t, F.lit(seed + 1)) < tree_share)
+    else:
+        # A row draws as many trees as it is expected to be in, the fraction by chance, so that few rows come of it.
+        count = F.floor(F.lit(trees * tree_share) + unit("_id", F.lit(seed + 2))).cast("int")
+        numbers = F.when(count > 0, F.array_distinct(F.transform(
+            F.sequence(F.lit(1), count), lambda i: F.pmod(F.xxhash64("_id", i, F.lit(seed + 1)), F.lit(trees)).cast("int"))))
+    drawn = pool.select("*", F.explode(numbers).alias("tree")).withColumn("_u", unit("_id", "tree", F.lit(seed + 3)))
     w = Window.partitionBy("tree").orderBy("_u", "_id")
     picked = drawn.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= sample).drop("_u", "_rn")
     nodes = picked.groupBy("tree").applyInPandas(_grow(features, seed), TREE).toPandas()

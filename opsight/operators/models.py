@@ -364,7 +364,8 @@ def experiment_grid(train: DataFrame, test: DataFrame, spec: Features, runs: Seq
     results = None
     train, test = materialise(train), materialise(test)
     features = Pipeline(stages=feature_stages(spec)).fit(train)
-    ready, held = (features.transform(d).select("features", spec.label).persist() for d in (train, test))
+    # Written, not kept in memory: the scores below are read when the caller asks for them.
+    ready, held = (materialise(features.transform(d).select("features", spec.label)) for d in (train, test))
     for run in runs:
         params = {k: v for k, v in run.items() if k not in ("run_name", "kind")} if run["kind"] == "random_forest" else {}
         model = regressor(run["kind"], spec.label, **params).fit(ready)

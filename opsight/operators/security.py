@@ -35,16 +35,16 @@ SENSITIVE_METHODS = {
     "google.cloud.workflows.executions.v1.CreateExecution": 15,
     "google.cloud.aiplatform.v1.Endpoint.Predict": 8,
 }
-# Resource words and the registered service accounts.
+# Resource words, and the registered service accounts unless a caller names others.
 SENSITIVE_RESOURCES = ("prod", "security", "raw", "iam", "secrets")
 KNOWN_ACCOUNTS = ("sa-aiops-dataflow", "sa-aiops-training", "sa-aiops-remediation", "sa-aiops-monitoring")
 
 
-def access_features(df: DataFrame) -> DataFrame:
-    """Flags of an access event."""
+def access_features(df: DataFrame, accounts: Sequence[str] = KNOWN_ACCOUNTS) -> DataFrame:
+    """Flags of an access event; ``accounts`` are parts of the names of registered service accounts."""
     hour = F.hour("event_ts")
     known = F.lit(False)
-    for prefix in KNOWN_ACCOUNTS:
+    for prefix in accounts:
         known = known | F.col("principal").contains(prefix)
     return df.withColumns(
         {

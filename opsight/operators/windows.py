@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from opsight.functions.scalar import finite_or_null, is_true, minutes_between
 from opsight.operators.ordered import BUCKET, carry_last, over_chunks, over_frames, session_numbers, time_bucket
+from opsight.session import materialise
 
 AGGS = {
     "mean": F.avg,
@@ -254,32 +255,34 @@ def temporal_split(
 ) -> DataFrame:
     """Label rows by global time order at ``int(n * ratio)`` cut points.
 
-    Only counts per bucket are ordered globally. The two bucket rows that contain a cut are
-    looked into, the cut row's (time, tie-break) comes back as a scalar, and every row is
-    labelled by comparing with it: the data itself is never shuffled.
+    Only counts per bucket are ordered globally. The buckets that contain a cut are looked into
+    together, the cut rows' (time, tie-break) come back as one scalar, and every row is labelled
+    by comparing with them: the data itself is never shuffled. Times and tie-breaks are written
+    once, so a long derivation of ``df`` runs once for them and once for the result.
     """
-    counts = df.groupBy(time_bucket(ts, bucket).alias(BUCKET)).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = materialise(df.select(F.col(ts).alias("_ts"), F.col(tiebreak).alias("_tb"))) \
+        .withColumn(BUCKET, time_bucket("_ts", bucket))
+    counts = keyed.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0)
     total = counts.agg(F.sum("_n").alias("t")).scalar()
     ends = counts.withColumn("_end", F.sum("_n").over(upto)).withColumn("_total", total)
-    label = F.lit(names[-1])
-    keyed = df.select(F.col(ts).alias("_ts"), F.col(tiebreak).alias("_tb"),
-                      time_bucket(ts, bucket).alias(BUCKET))
-    for ratio, name in reversed(list(zip(ratios, names))):
-        k = F.floor(F.col("_total") * F.lit(float(ratio)))
-        # The bucket whose span (start, end] contains the k-th row.
-        cut = ends.filter((F.col("_end") >= k) & (F.col("_end") - F.col("_n") < k)).select(
-            BUCKET, (k - (F.col("_end") - F.col("_n"))).alias("_kth")
-        )
-        # Only one bucket's rows take part, so this ranking is small.
-        ranked = keyed.join(cut, BUCKET).withColumn(
-            "_rn", F.row_number().over(Window.partitionBy(BUCKET).orderBy("_ts", "_tb"))
-        )
-        last = ranked.filter(F.col("_rn") == F.col("_kth")).agg(
-            F.max(F.struct(F.col("_ts").alias("a"), F.col("_tb").alias("b"))).alias("c")
-        )
-        here = F.struct(F.col(ts).alias("a"), F.col(tiebreak).alias("b"))
-        label = F.when(is_true(here <= last.scalar()), F.lit(name)).otherwise(label)
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col("_total") * F.lit(float(r))).alias("k"))
+                       for i, r in enumerate(ratios)])
+    # The buckets whose span (start, end] contains a cut, one row for each cut.
+    cut = ends.withColumn("_cut", F.explode(wanted)).filter(
+        (F.col("_end") >= F.col("_cut.k")) & (F.col("_end") - F.col("_n") < F.col("_cut.k"))
+    ).select(BUCKET, F.col("_cut.i").alias("_i"), (F.col("_cut.k") - (F.col("_end") - F.col("_n"))).alias("_kth"))
+    # One bucket's rows for each cut take part, so this ranking is small.
+    ranked = keyed.join(F.broadcast(cut), BUCKET).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy(BUCKET, "_i").orderBy("_ts", "_tb"))
+    )
+    row = F.struct(F.col("_ts").alias("a"), F.col("_tb").alias("b"))
+    last = ranked.filter(F.col("_rn") == F.col("_kth")).agg(
+        F.struct(*[F.max(F.when(F.col("_i") == i, row)).alias(f"c{i}") for i in range(len(ratios))]).alias("cuts")
+    ).scalar()
+    here, label = F.struct(F.col(ts).alias("a"), F.col(tiebreak).alias("b")), F.lit(names[-1])
+    for i, name in reversed(list(enumerate(names[:len(ratios)]))):
+        label = F.when(is_true(here <= last[f"c{i}"]), F.lit(name)).otherwise(label)
     return df.withColumn(out, label)
 
 
