@@ -72,7 +72,7 @@ class Encoder:
     """
 
     #: Pieces kept, pieces encoded at once, bytes cut at once.
-    PIECES, AT_ONCE, PART = 1_000_000, 5_000, 1 << 18
+    PIECES, AT_ONCE, PART = 2_000_000, 5_000, 1 << 20
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
