@@ -219,3 +219,44 @@ def test_level_shifts_are_found_on_their_day(spark):
     assert got == [("both", 50, 9), ("both", 140, -15), ("up", 70, 8)]
     level = adjust_steps(df, "k", "d", "y", penalty=6.0).filter("k = 'both'").toPandas().sort_values("d")["y"].to_numpy()
     assert abs(level[:50].mean() - 14) < 0.6 and abs(level[50:140].mean() - 14) < 0.6
+
+
+def test_forest_fits_as_well_as_sparks_own(spark):
+    """On a label that needs two features together, and on a number."""
+    from opsight.operators import forest as FO
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 3))
+    rows = [(i, float(a), float(b), float(c), int(a * b > 0), float(3 * a - b)) for i, (a, b, c) in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, label int, y double")
+    spec = M.Features(numeric=["a", "b", "c"], label="label")
+    model = M.train_classifier(df, spec, trees=20)
+    assert isinstance(model.stages[-1], FO.ForestModel)
+    scored = M.score_risk(model, df)
+    assert scored.filter("prediction = label").count() > 3700
+    importance = {r["feature"]: r["importance"] for r in M.feature_importance(model, df).collect()}
+    assert importance["c"] < 0.1 and abs(sum(importance.values()) - 1) < 1e-9
+    number = M.train_regressor(df, M.Features(numeric=["a", "b", "c"], label="y"), trees=20, depth=8)
+    error = number.transform(df).agg(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2))).first()[0]
+    assert error < 0.6
+    own = M.RandomForestRegressor(labelCol="y", numTrees=20, maxDepth=8, minInstancesPerNode=2, seed=42)
+    stages = M.feature_stages(M.Features(numeric=["a", "b", "c"]), scale=False)
+    theirs = M.Pipeline(stages=[*stages, own]).fit(df).transform(df)
+    assert abs(theirs.agg(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2))).first()[0] - error) < 0.1
+
+
+def test_forest_takes_the_best_split():
+    """The cut with the least variance left, among those of both features."""
+    from opsight.operators import forest as FO
+
+    cells = np.array([[0, 1, 2, 3, 0, 1, 2, 3], [0, 0, 0, 0, 1, 1, 1, 1]], np.uint8)
+    y = np.array([1.0, 1, 5, 5, 1, 1, 5, 6])
+    stats = np.zeros((2, 3, 1, FO.BINS))  # slot, part, node, bin
+    plan = FO.Plan(2, 2, 1, 0, None)
+    asked = FO.subsets(0, 0, 0, 2, 2)[0]
+    for slot, f in enumerate(asked):
+        for part, weight in enumerate((np.ones(8), y, y * y)):
+            stats[slot, part, 0] = np.bincount(cells[f], weight, FO.BINS)
+    import pyarrow as pa
+    best = FO._best(plan, 0)(pa.table({"tree": [0], "bins": [stats.tobytes()]})).to_pylist()[0]
+    assert (best["feature"], best["cut"]) == ([0], [1])
