@@ -8,6 +8,7 @@ that contain a wanted rank are ordered. The sketch decides where to look, never
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -125,3 +126,21 @@ def quantiles_of_ranks(sized: DataFrame, keys: Sequence[str], qs: Sequence[float
     per_q = hits.groupBy(*keys, F.col("_w.i").alias("_i")).agg((lo + (hi - lo) * part).alias("_q"))
     ordered = F.array_sort(F.collect_list(F.struct("_i", "_q")))
     return per_q.groupBy(*keys).agg(F.transform(ordered, lambda s: s["_q"]).alias("quantiles"))
+
+
+def discrete_quantiles(counts: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """One row per key: the smallest value that at least that share of its rows does not exceed, by name.
+
+    From a table of distinct values and their counts ``_n``. NULL values are left out, NULL keys are keys like others
+    and come back in the one column ``_key``, a struct of the keys.
+    """
+    known = counts.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("_key"), value, "_n")
+    totals = known.groupBy("_key").agg(F.sum("_n").alias("_total"))
+    ranked = cumulate(known, ["_key"], value, ["_n"]).join(totals, "_key")
+
+    def covers(q: float) -> Column:
+        # Decimal arithmetic: 0.95 of 20 rows is rank 19, not one more.
+        rank = F.greatest(F.lit(1), F.ceil(F.col("_total").cast("decimal(20,0)") * F.lit(Decimal(repr(q)))))
+        return (rank <= F.col("cum__n")) & (rank > F.col("cum__n") - F.col("_n"))
+
+    return ranked.groupBy("_key").agg(*[F.max(F.when(covers(q), F.col(value))).alias(n) for n, q in quantiles.items()])

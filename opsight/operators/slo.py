@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from opsight.functions.scalar import case_ladder, safe_ratio
+from opsight.operators.quantiles import discrete_quantiles, distinct_counts
+from opsight.session import materialise
 
 
 @dataclass(frozen=True)
@@ -22,10 +24,16 @@ class Objectives:
 
 
 def latency_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
-    """Quantiles from a mergeable sketch: exact ranks for small groups, 1e-4 error beyond."""
-    return df.groupBy(*keys).agg(
-        *[F.percentile_approx(value, F.lit(q), F.lit(10_000)).alias(n) for n, q in quantiles.items()]
-    )
+    """Exact quantiles: the smallest value that at least that share of the rows does not exceed."""
+    # Read several times: groups, split points, ranks and totals.
+    counts = materialise(distinct_counts(df, keys, value))
+    return _with_quantiles(counts.select(*keys).distinct(), counts, keys, value, quantiles)
+
+
+def _with_quantiles(groups: DataFrame, counts: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """The groups and their quantiles; a group without a value has none."""
+    found = discrete_quantiles(counts, keys, value, quantiles)
+    return groups.withColumn("_key", F.struct(*keys)).join(found, "_key", "left").drop("_key")
 
 
 def daily_slo(
@@ -36,22 +44,21 @@ def daily_slo(
     status: str = "status_code",
     latency: str = "latency_ms",
 ) -> DataFrame:
-    """Daily indicators, error budget and status per service, in one aggregation."""
-    up, fast = F.col(status) < 500, F.col(latency) <= slo.slow_ms
-    base = df.groupBy(F.to_date(ts).alias("event_date"), service).agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_if(up).alias("availability_good_requests"),
-        F.count_if(fast).alias("latency_good_requests"),
-        F.count_if(up & fast).alias("combined_good_requests"),
-        F.count_if(F.col(status) >= 500).alias("server_errors"),
-        F.count_if(F.col(latency) > slo.slow_ms).alias("slow_requests"),
-        F.percentile_approx(latency, F.array(F.lit(0.95), F.lit(0.99)), F.lit(10_000)).alias("_q"),
-    )
+    """Daily indicators with exact latency quantiles, error budget and status per service, from counts per latency."""
+    up, fast, keys = F.col(status) < 500, F.col(latency) <= slo.slow_ms, ["event_date", service]
+    counted = {
+        "availability_good_requests": F.count_if(up),
+        "latency_good_requests": F.count_if(fast),
+        "combined_good_requests": F.count_if(up & fast),
+        "server_errors": F.count_if(F.col(status) >= 500),
+        "slow_requests": F.count_if(F.col(latency) > slo.slow_ms),
+    }
+    counts = materialise(distinct_counts(df.withColumn("event_date", F.to_date(ts)), keys, latency, counted))
+    sums = counts.groupBy(*keys).agg(F.sum("_n").alias("total_requests"), *[F.sum(c).alias(c) for c in counted])
+    base = _with_quantiles(sums, counts, keys, latency, {"latency_p95_ms": 0.95, "latency_p99_ms": 0.99})
     total = F.col("total_requests")
     calculated = base.withColumns(
         {
-            "latency_p95_ms": F.col("_q")[0],
-            "latency_p99_ms": F.col("_q")[1],
             "availability_sli": safe_ratio("availability_good_requests", total),
             "latency_sli": safe_ratio("latency_good_requests", total),
             "combined_sli": safe_ratio("combined_good_requests", total),
@@ -62,7 +69,7 @@ def daily_slo(
             "error_budget_allowed": total * F.lit(round(1 - slo.combined, 12)),
             "bad_events": total - F.col("combined_good_requests"),
         }
-    ).drop("_q")
+    )
     used = safe_ratio("bad_events", "error_budget_allowed")
     return calculated.withColumn("budget_consumed_ratio", used).withColumn(
         "slo_status",

@@ -297,3 +297,23 @@ def test_ks_is_exact_for_small_sides_and_asymptotic_beyond(spark):
     assert r["ks_statistic"] == pytest.approx(2 / 3) and r["ks_pvalue"] == pytest.approx(R.paths_beyond(5, 6, 20))
     far = ks_2samp(base, cur, ["x"], exact=5).collect()[0]
     assert far["ks_statistic"] == r["ks_statistic"] and far["ks_pvalue"] != r["ks_pvalue"]
+
+
+def test_latency_quantiles_are_exact_in_large_groups(spark):
+    """A sketch is off by some ranks beyond 10,000 rows; NULL groups and groups without a value stay."""
+    from opsight.operators.slo import daily_slo, latency_quantiles
+
+    df = spark.range(0, 60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("s"), F.col("id") % 3)).alias("service_name"),
+        F.lit("2024-01-01 10:00:00").cast("timestamp").alias("event_ts"), F.lit(200).alias("status_code"),
+        ((F.col("id") * 7919) % 100_003).alias("latency_ms"))
+    df = df.union(spark.sql("SELECT 'none', TIMESTAMP '2024-01-01 10:00:00', 200, CAST(NULL AS BIGINT)"))
+    want = {}
+    for r in df.filter("latency_ms IS NOT NULL").groupBy("service_name").agg(F.sort_array(F.collect_list("latency_ms")).alias("v")).collect():
+        want[r[0]] = tuple(r["v"][-(-len(r["v"]) * p // 100) - 1] for p in (95, 99))
+    want["none"] = (None, None)
+    got = latency_quantiles(df, ["service_name"], "latency_ms", {"a": 0.95, "b": 0.99}).collect()
+    assert {r["service_name"]: (r["a"], r["b"]) for r in got} == want
+    daily = daily_slo(df).collect()
+    assert {r["service_name"]: (r["latency_p95_ms"], r["latency_p99_ms"]) for r in daily} == want
+    assert {r["service_name"]: r["total_requests"] for r in daily} == {None: 20_000, "s1": 20_000, "s2": 20_000, "none": 1}
