@@ -11,6 +11,7 @@ from opsight.plans.decisions import GOOD, MITIGATION_SQL, OBS_SEVERITY, ROUTE_SQ
 from opsight.plans.registry import REGISTRY, query
 from opsight.plans.text import replace_sql
 from opsight.plans.views import VIEWS
+from opsight.session import materialise
 from opsight.sources import files as FS, messages as M, tables as T
 from opsight.streaming import pipelines as S
 from opsight.streaming.parse import dead_letters, normalised, parse_messages
@@ -136,7 +137,8 @@ WITH w AS (SELECT principal, time_bucket(INTERVAL 5 MINUTE, event_ts) - INTERVAL
 SELECT principal, window_start, event_count, round(event_count / greatest(coalesce(bl, 1), 1), 6) AS volume_ratio,
   event_count / greatest(coalesce(bl, 1), 1) >= 2 AS is_anomaly FROM c LEFT JOIN b USING (principal)""")
 def sliding_volume(t):
-    base = Z.hourly_baseline(t.access, F.lit("2024-01-15 00:00:00").cast("timestamp"))
+    # Read by every batch of the stream.
+    base = materialise(Z.hourly_baseline(t.access, F.lit("2024-01-15 00:00:00").cast("timestamp")))
     df = S.run_to_end(S.sliding_volume(stream(t, "access"), base, ratio=2.0), "sliding")
     return df.withColumn("volume_ratio", F.round("volume_ratio", 6))
 

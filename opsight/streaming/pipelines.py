@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -130,23 +131,75 @@ def tumbling_alert(
     )
 
 
+#: Microseconds of a window of the sliding volume and of its step.
+WINDOW, STEP = 3_600_000_000, 300_000_000
+
+
 def sliding_volume(
     events: DataFrame, baseline: DataFrame, ts: str = "event_ts", delay: str = "10 minutes", ratio: float = 5.0
 ) -> DataFrame:
-    """Hourly event counts sliding by five minutes against each principal's usual hour."""
-    counts = (
-        events.withWatermark(ts, delay)
-        .groupBy("principal", F.window(ts, "1 hour", "5 minutes"))
-        .agg(F.count(F.lit(1)).alias("event_count"))
-    )
+    """Hourly event counts sliding by five minutes against each principal's usual hour.
+
+    State holds a principal's counts per five minutes while a window that reads them is open, not a
+    row for each of the twelve windows of an event. Counts are added up before the shuffle, so a
+    task gets a busy principal as counts. A window is written once the watermark has passed its end;
+    an event counts in those of its windows that were still open, and is dropped if there is none.
+    """
+    schema = "principal string, _from bigint, _last bigint, _n bigint"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by(["principal", "_from"]).aggregate([("_last", "max"), ("_n", "sum")])
+            yield from found.select(["principal", "_from", "_last_max", "_n_sum"]).rename_columns(
+                ["principal", "_from", "_last", "_n"]).to_batches()
+
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    counted = events.filter(F.col(ts).isNotNull()).select(
+        "principal", (at - F.pmod(at, F.lit(STEP))).alias("_from"),
+        at.alias("_last"), F.lit(1).cast("bigint").alias("_n"),
+    ).mapInArrow(count, schema).select("principal", "_from", F.timestamp_micros(F.col("_last") + WINDOW).alias("_latest"), "_n")
+    # Rows are dropped by the watermark only where all their windows have ended: it runs on the time plus a window.
+    counts = counted.withWatermark("_latest", f"1 hour {delay}").groupBy("principal").applyInPandasWithState(
+        _slide, "principal string, _start bigint, event_count bigint",
+        "starts array<bigint>, counts array<bigint>, closed bigint", "append", "EventTimeTimeout",
+    ).select("principal", F.timestamp_micros("_start").alias("window_start"), "event_count")
     usual = F.greatest(F.coalesce("baseline_event_count", F.lit(1.0)), F.lit(1.0))
     return counts.join(baseline, "principal", "left").select(
-        "principal", F.col("window.start").alias("window_start"), "event_count",
+        "principal", "window_start", "event_count",
         (F.col("event_count") / usual).alias("volume_ratio"),
         (F.col("event_count") / usual >= ratio).alias("is_anomaly"),
     )
 
 
+def _slide(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """The windows of a principal that the watermark has passed since the last call; the counts still needed are kept."""
+    passed = state.getCurrentWatermarkMs() * 1000
+    starts, counts, closed = state.get if state.exists else ((), (), passed)
+    starts, counts = np.array(starts, np.int64), np.array(counts, np.int64)
+    if not state.hasTimedOut:
+        for rows in frames:
+            both = np.concatenate([starts, rows["_from"].to_numpy(np.int64)])
+            starts, place = np.unique(both, return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, rows["_n"].to_numpy(np.int64)]), len(starts)).astype(np.int64)
+    windows = np.unique(starts[:, None] - STEP * np.arange(WINDOW // STEP))
+    windows = windows[(windows + WINDOW > closed) & (windows + WINDOW <= passed)]
+    if len(windows):
+        upto = np.concatenate([[0], counts.cumsum()])
+        found = upto[np.searchsorted(starts, windows + WINDOW)] - upto[np.searchsorted(starts, windows)]
+        yield pd.DataFrame({"principal": key[0], "_start": windows, "event_count": found})
+    closed = max(closed, passed)
+    needed = starts + WINDOW > closed
+    if not needed.any():
+        if state.exists:
+            state.remove()
+        return
+    starts, counts = starts[needed], counts[needed]
+    state.update((starts.tolist(), counts.tolist(), int(closed)))
+    # The end of the first window still open; a timeout must lie after the watermark and fires once that is beyond it.
+    end = max(int(starts[0]) + STEP, closed // STEP * STEP + STEP)
+    state.setTimeoutTimestamp(max(end // 1000 - 1, passed // 1000 + 1))
+
+
 def session_incidents(
     candidates: DataFrame, keys: Sequence[str], ts: str, gap: str = "10 minutes", delay: str = "30 minutes"
 ) -> DataFrame:
