@@ -317,3 +317,16 @@ def test_latency_quantiles_are_exact_in_large_groups(spark):
     daily = daily_slo(df).collect()
     assert {r["service_name"]: (r["latency_p95_ms"], r["latency_p99_ms"]) for r in daily} == want
     assert {r["service_name"]: r["total_requests"] for r in daily} == {None: 20_000, "s1": 20_000, "s2": 20_000, "none": 1}
+
+
+def test_texts_that_cannot_match_are_not_searched(spark):
+    """The regex stands behind a search for bytes, and finds what it finds alone, in any case and beyond ASCII."""
+    texts = ["", None, "BeArEr abc", "bearer\u00a0x", "pa\u017fsword=x", "PWD = y", "x-api-\u212aey: z", "\u017fecret=1", "client_secret:q",
+             "a@b.co", "1.2.3.4", "\u0661.2.3.4", "eyJa.b.c", "EYJa.b.c", "a = b", "note: c", "bearer", "secret", "\u0130 bearer t"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    alone = {k: F.regexp_count(F.coalesce("t", F.lit("")), F.lit(X.unicode_aware(p))).alias(f"n_{k}") for k, p in X.PATTERNS.items()}
+    points = sum((F.when(c > 0, X.RISK_POINTS[k]).otherwise(0) for k, c in alone.items()), F.lit(0))
+    want = df.select("id", *alone.values(), points.alias("p")).orderBy("id").collect()
+    assert df.select("id", *[c.alias(n) for n, c in X.finding_counts("t").items()], X.risk_points("t").alias("p")).orderBy("id").collect() == want
+    plan = df.select(X.risk_points("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" in plan
