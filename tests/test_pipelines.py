@@ -286,3 +286,18 @@ def test_sliding_volume_equals_spark_windows_over_batches(spark, tmp_path):
     assert len(got) == len(want)
     assert {(r["principal"], int(r["window_start"].timestamp())): r["event_count"] for r in got} == want
     assert all(abs(r["volume_ratio"] - r["event_count"] / (3 if r["principal"] == "u1" else 1)) < 1e-12 for r in got)
+
+
+def test_class_weights_do_not_shuffle_the_rows_by_class(spark):
+    """Few classes hold all rows, so dealing rows by their class would leave most tasks without any."""
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 10 == 0).cast("int").alias("label"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = M.weighted(df, "label")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {(r["label"], round(r["class_weight"], 9)) for r in rows.collect()} == {(1, 5.0), (0, round(1000 / 1800, 9))}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert M.dealt(spark.range(4 * M.TRAIN_ROWS + 1, numPartitions=1)).rdd.getNumPartitions() == 5
