@@ -301,3 +301,48 @@ def test_class_weights_do_not_shuffle_the_rows_by_class(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert M.dealt(spark.range(4 * M.TRAIN_ROWS + 1, numPartitions=1)).rdd.getNumPartitions() == 5
+
+
+def test_term_counts_are_those_of_sparks_stages(spark):
+    """Odd characters, one long word, stop words, batches of many sizes; a missing text has no terms."""
+    from opsight.operators import terms as TC
+
+    odd = ["", "a", "ab", "ÄÖ straße ŞİIı ΣΑΣ x² ½half été na\u200dive हिन्दी 漢字 кот_кот ⓐⓑ 𝔘𝔫 don't the the  the dog-dog 12 3 45.6 ",
+           "x" * 5000 + " yy zz " + "é" * 33, "a‿b ‿‿ ①② ٣٤"]
+    texts = spark.createDataFrame(list(enumerate(odd)), "id long, t string").unionByName(
+        spark.read.parquet(f"{SF_DIR}/documents.parquet").select((F.col("doc_id") + 100).alias("id"), F.col("text").alias("t")))
+    for size, stop in ((1 << 16, None), (1000, "english")):
+        spec = M.Features(text="t", terms=size, stop_words=stop)
+        *apart, counts = M.text_stages(spec)
+        from pyspark.ml.feature import HashingTF
+        own = HashingTF(inputCol="txt__all", outputCol="want", numFeatures=size)
+        both = M.PipelineModel(stages=[*apart, own, counts]).transform(texts).select("id", "want", "txt__tf").collect()
+        assert len(both) > 200 and [r["id"] for r in both if r["want"] != r["txt__tf"]] == []
+    assert counts.transform(spark.createDataFrame([(None,)], "t string")).first()["txt__tf"].numNonzeros() == 0
+    import pyarrow as pa
+    rows = pa.array(["ab " * (1 << 20), None, "cd", "ef " * (1 << 20), "gh"])
+    assert [b - a for a, b in TC._slices(rows)] == [3, 2]
+
+
+def test_clusters_of_rows_read_each_text_once_and_take_missing_ones(spark):
+    docs = spark.createDataFrame([(i, "disk full on host" if i % 2 else "network link down", float(i % 3)) for i in range(40)]
+                                 + [(40, None, 1.0)], "id int, t string, n double")
+    spec = M.Features(numeric=["n"], text="t", min_df=1, terms=1 << 10)
+    got = {r["id"]: r["cluster_id"] for r in M.cluster_rows(docs, spec, "id", 3).collect()}
+    assert len(got) == 41
+    model = M.train_clusters(docs.filter("t is not null"), spec, 2)
+    assert M.assign_clusters(model, docs.filter("t is not null")).count() == 40
+    scored = M.cluster_sweep(docs, spec, [2, 3]).collect()
+    assert [r["k"] for r in scored] == [2, 3] and all(-1 <= r["silhouette"] <= 1 for r in scored)
+
+
+def test_class_sizes_are_broadcast(spark):
+    """Joined by a shuffle, all rows of a class land in one task."""
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    shown = StringIO()
+    with redirect_stdout(shown):
+        M.stratified_split(classes(spark), "y", "id").explain()
+    assert "hashpartitioning(y#" not in "".join(
+        line for line in shown.getvalue().splitlines() if "Exchange" in line and "_pos" in line) and "BroadcastHashJoin [y#" in shown.getvalue()
