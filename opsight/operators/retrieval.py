@@ -42,8 +42,9 @@ def build_chunk_table(
     return table if embeddings is None else table.join(embeddings, "chunk_id", "left")
 
 
-#: Rows of a block of queries and of a block of the base, and how many base rows are multiplied at once.
-QUERY_BLOCK, BASE_BLOCK, AT_ONCE = 2048, 16_384, 2048
+#: Rows of a block of queries and of a block of the base, and how many base rows are multiplied at once: four megabytes of
+#: distances, of which a task holds several copies.
+QUERY_BLOCK, BASE_BLOCK, AT_ONCE = 2048, 16_384, 256
 #: Distances are compared to this many digits, so that equal vectors are ties wherever they lie.
 DIGITS = 12
 

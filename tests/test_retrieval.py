@@ -110,3 +110,8 @@ def test_runbooks_with_wildcards(spark):
     for row in J.match_runbooks(asks, books).collect():
         got.setdefault(row["request_id"], {})[row["runbook_rank"]] = row["runbook_id"]
     assert got == {1: {1: 0, 2: 1}, 2: {1: 2, 2: 3}, 3: {1: 2, 2: 6}, 4: {1: 0, 2: 1, 3: 2, 4: 3, 5: 5}}
+
+
+def test_a_task_holds_few_distances_at_once():
+    """A worker's memory follows the largest table of distances, of which it holds several copies."""
+    assert V.QUERY_BLOCK * V.AT_ONCE * 8 <= 1 << 22
