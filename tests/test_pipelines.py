@@ -1,6 +1,7 @@
 """Sources, sinks, streams and models."""
 
 import json
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -346,3 +347,26 @@ def test_class_sizes_are_broadcast(spark):
         M.stratified_split(classes(spark), "y", "id").explain()
     assert "hashpartitioning(y#" not in "".join(
         line for line in shown.getvalue().splitlines() if "Exchange" in line and "_pos" in line) and "BroadcastHashJoin [y#" in shown.getvalue()
+
+
+def test_rows_of_one_row_group_and_of_two_classes_are_dealt_to_many_tasks(spark, tmp_path, monkeypatch):
+    """A file has more splits than row groups, and few of many shuffle partitions have a class: neither may gather rows."""
+    monkeypatch.setattr(M, "TRAIN_ROWS", 100)
+    spark.range(1000, numPartitions=1).select("id", (F.col("id") % 10 == 0).cast("int").alias("label")).write.parquet(
+        path := str(tmp_path / "rows"))
+    changed = {"spark.sql.files.maxPartitionBytes": "128b", "spark.sql.files.openCostInBytes": "1b",
+               "spark.sql.shuffle.partitions": "100", "spark.sql.autoBroadcastJoinThreshold": "1b"}
+    held = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        rows = spark.read.parquet(path)
+        assert rows.rdd.getNumPartitions() >= 10
+        assert rows.select(F.spark_partition_id().alias("p")).distinct().count() == 1
+        got = M.weighted(M.dealt(rows), "label").select("id", F.spark_partition_id().alias("p")).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert sorted(r["id"] for r in got) == list(range(1000))
+    assert max(Counter(r["p"] for r in got).values()) <= 101
+    assert M.dealt(spark.range(0)).count() == 0
