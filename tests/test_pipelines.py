@@ -370,3 +370,18 @@ def test_rows_of_one_row_group_and_of_two_classes_are_dealt_to_many_tasks(spark,
     assert sorted(r["id"] for r in got) == list(range(1000))
     assert max(Counter(r["p"] for r in got).values()) <= 101
     assert M.dealt(spark.range(0)).count() == 0
+
+
+def test_clusters_rest_and_rows_are_assigned_by_the_fitted_model(spark, tables, monkeypatch):
+    """Evenly spread rows need more than 20 rounds; the query scores its rows with the model, as those that come later are."""
+    df = spark.range(2000).select("id", F.col("id").cast("double").alias("x"))
+    got = M.cluster_rows(df, M.Features(numeric=["x"]), "id", 5).toPandas().sort_values("id")
+    centres = got.groupby("cluster_id")["id"].mean()
+    nearest = np.abs(got["id"].to_numpy()[:, None] - centres.to_numpy()).argmin(axis=1)
+    assert len(got) == 2000 and (centres.index.to_numpy()[nearest] != got["cluster_id"].to_numpy()).sum() <= 4
+    from opsight.plans import models as P
+
+    seen, assign = [], M.assign_clusters
+    monkeypatch.setattr(M, "assign_clusters", lambda model, rows: seen.append(model) or assign(model, rows))
+    assert P.cluster_events(tables).filter("cluster_id between 0 and 4").count() == tables.documents.count()
+    assert len(seen) == 1 and isinstance(seen[0].stages[-1].clusterCenters(), list)
