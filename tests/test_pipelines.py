@@ -385,3 +385,98 @@ def test_clusters_rest_and_rows_are_assigned_by_the_fitted_model(spark, tables,
     monkeypatch.setattr(M, "assign_clusters", lambda model, rows: seen.append(model) or assign(model, rows))
     assert P.cluster_events(tables).filter("cluster_id between 0 and 4").count() == tables.documents.count()
     assert len(seen) == 1 and isinstance(seen[0].stages[-1].clusterCenters(), list)
+
+
+def test_experiment_grid_runs_every_variant(monkeypatch):
+    """Also the one of unlimited depth."""
+    from types import SimpleNamespace
+
+    from opsight.plans import models as P
+
+    asked = []
+    split = SimpleNamespace(filter=lambda _: None)
+    monkeypatch.setattr(P, "lagged", lambda t: None)
+    monkeypatch.setattr(P.W, "temporal_split", lambda *a, **k: split)
+    monkeypatch.setattr(M, "regression_metrics", None)
+    monkeypatch.setattr(M, "experiment_grid", lambda train, test, spec, runs=M.EXPERIMENTS: asked.extend(runs))
+    P.experiment_grid(None)
+    assert [r["depth"] for r in asked] == [4, 6, 8, None, 0]
+
+
+def leaves_of(grown, cells):
+    at = np.zeros(cells.shape[1], int)
+    for _ in range(200):
+        here = at.copy()
+        go = grown["feature"][here] >= 0
+        right = cells[grown["feature"][here[go]], np.flatnonzero(go)] > grown["cut"][here[go]]
+        at[go] = grown["child"][here[go]] + right
+    return at
+
+
+def test_a_subtree_grows_until_no_node_can_be_split():
+    """Against a search of all cuts, node by node; leaves of one row where all cells differ."""
+    from opsight.operators import forest as FO
+
+    rng = np.random.default_rng(4)
+    cells, y = rng.integers(0, 32, (3, 400)).astype(np.uint8), rng.normal(size=400)
+    times = rng.integers(1, 4, 400).astype(float)
+    for leaf in (1, 3):
+        grown = FO.subtree(FO.Plan(3, 3, leaf, 0, None), cells, y, times, np.inf, np.random.default_rng(0))
+        at = leaves_of(grown, cells)
+        n = np.bincount(at, times)
+        assert n[n > 0].min() >= leaf
+        mean = np.bincount(at, times * y) / np.where(n > 0, n, 1)
+        assert np.allclose(grown["value"][at], mean[at])
+        for node in np.unique(at):  # no leaf has a cut that both sides allow
+            r = at == node
+            for f in range(3):
+                for c in np.unique(cells[f, r]):
+                    a = times[r & (cells[f] <= c)].sum()
+                    assert not (a >= leaf and times[r].sum() - a >= leaf and np.ptp(y[r]) > 1e-9)
+    root, best = None, -1.0
+    for f in range(3):
+        for c in range(31):
+            a = cells[f] <= c
+            left, right = times[a].sum(), times[~a].sum()
+            if min(left, right) >= 3:
+                m = (times * y).sum() / times.sum()
+                gain = left * (np.average(y[a], weights=times[a]) - m) ** 2 + right * (np.average(y[~a], weights=times[~a]) - m) ** 2
+                root, best = ((f, c), gain) if gain > best + 1e-9 else (root, best)
+    assert (grown["feature"][0], grown["cut"][0]) == root
+    flat = FO.subtree(FO.Plan(3, 3, 1, 0, None), cells, np.ones(400), times, np.inf, np.random.default_rng(0))
+    assert flat["feature"].tolist() == [-1] and flat["value"].tolist() == [1.0]
+
+
+def test_unlimited_trees_fit_what_shallow_ones_cannot(spark, monkeypatch):
+    """As one subtree a tree and as many below levels of histograms, with rows dealt in one round and in several."""
+    from opsight.operators import forest as FO
+
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 30, size=(3000, 2))
+    noise = rng.normal(size=(30, 30)) * 10  # one level a cell: only a tree of hundreds of leaves has it
+    rows = [(i, float(a), float(b), float(noise[a, b])) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows + [(3000, None, 1.0, None)], "id int, a double, b double, y double")
+    spec = M.Features(numeric=["a", "b"], label="y")
+    shallow = M.train_regressor(df, spec, trees=30, depth=6, leaf=1)
+
+    def error(model):
+        out = model.transform(df).select("id", "y", "prediction").collect()
+        assert sorted(r["id"] for r in out) == list(range(3001)) and all(r["prediction"] is not None for r in out)
+        return np.sqrt(np.mean([(r["y"] - r["prediction"]) ** 2 for r in out if r["y"] is not None]))
+
+    assert error(shallow) > 6
+    for most, at_once in ((1 << 18, 4 << 30), (400, 300_000)):
+        monkeypatch.setattr(FO, "SUBTREE_ROWS", most)
+        monkeypatch.setattr(FO, "ROUND_BYTES", at_once)
+        deep = M.train_regressor(df, spec, trees=30, depth=None, leaf=1)
+        assert isinstance(deep.stages[-1], FO.DeepForestModel) and deep.stages[-1].level == (0 if most > 3000 else 4)
+        assert error(deep) < 3
+        importance = deep.stages[-1].featureImportances.toArray()
+        assert abs(importance.sum() - 1) < 1e-9 and abs(importance[0] - 0.5) < 0.1
+    capped = M.train_regressor(df, spec, trees=5, depth=11, leaf=1).stages[-1]
+    for r in capped.below.collect():
+        feature, child = np.frombuffer(r["feature"], np.int16), np.frombuffer(r["child"], np.int32)
+        depth = {0: 0}
+        for i in np.flatnonzero(feature >= 0):
+            depth[child[i]] = depth[child[i] + 1] = depth[i] + 1
+        assert max(depth.values()) + int(np.log2(r["node"] + 1)) <= 11
