@@ -188,9 +188,9 @@ FROM (SELECT doc_id, {replace_sql("coalesce(text, '') || chr(10)", X.REDACTIONS)
 def read_documents(t):
     """Every document written as a file of its own and read back, redacted."""
     path = S.scratch(t.spark, "docs")
-    t.spread().documents.select("text", F.col("doc_id").alias("doc")).write.partitionBy("doc").text(path)
+    FS.write_documents(t.spread().documents.select("doc_id", "text"), path)
     docs = FS.read_documents(t.spark, path)
-    return docs.select(F.regexp_extract("source_path", r"/doc=(-?\d+)/", 1).cast("bigint").alias("doc_id"),
+    return docs.select(F.regexp_extract("source_path", r"/doc=(-?\d+)[./]", 1).try_cast("bigint").alias("doc_id"),
                        F.length("content").alias("n_chars"), F.md5("content").alias("digest"))
 
 

@@ -480,3 +480,39 @@ def test_unlimited_trees_fit_what_shallow_ones_cannot(spark, monkeypatch):
         for i in np.flatnonzero(feature >= 0):
             depth[child[i]] = depth[child[i] + 1] = depth[i] + 1
         assert max(depth.values()) + int(np.log2(r["node"] + 1)) <= 11
+
+
+def test_documents_are_read_as_the_text_source_reads_them(spark, tmp_path):
+    """Whatever the bytes; many small files make few tasks."""
+    from opsight.functions.text import redact
+
+    for i, raw in enumerate((b"\xef\xbb\xbfa\r\nb\r", "ä\u2028ö".encode(), b"\xff\xfe\x00broken", b"\n", b"x" * 70_000)):
+        (tmp_path / f"f{i}.txt").write_bytes(raw)
+    whole = spark.read.text(str(tmp_path), wholetext=True).select(F.md5(redact("value")).alias("m"))
+    got = FS.read_documents(spark, str(tmp_path)).select(F.md5("content").alias("m"))
+    assert got.count() == 5 and sorted(got.collect()) == sorted(whole.collect())
+    for i in range(5000):
+        (tmp_path / f"g{i}.md").write_bytes(b"# g")
+    many = FS.read_documents(spark, str(tmp_path))
+    assert many.count() == 5005 and many.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("scheme", ["file", "other"])
+def test_every_document_is_written_as_a_file_of_its_own(spark, tmp_path, monkeypatch, scheme):
+    """By the tasks, and by Spark's writer where they do not see the files; keys may come twice or be missing."""
+    from types import SimpleNamespace
+
+    find = FS.file_system
+    if scheme != "file":
+        there = SimpleNamespace(mkdirs=lambda _: None, getUri=lambda: SimpleNamespace(getScheme=lambda: scheme))
+        monkeypatch.setattr(FS, "file_system", lambda s, f: (find(s, f)[0], there))
+    monkeypatch.setattr(FS, "FOLDER_FILES", 2)
+    rows = [(1, "a"), (2, None), (1, "b"), (-3, "ä\nc"), (None, "n")]
+    FS.write_documents(spark.createDataFrame(rows, "k long, t string").repartition(2) if scheme == "file" else
+                       spark.createDataFrame(rows[1:], "k long, t string"), str(tmp_path / "d"))
+    got = FS.read_documents(spark, str(tmp_path / "d")).select(
+        F.regexp_extract("source_path", r"/doc=(-?\d+)[./]", 1).try_cast("bigint"), "content").collect()
+    want = rows if scheme == "file" else rows[1:]
+    assert sorted(map(str, map(tuple, got))) == sorted(str((k, f"{t or ''}\n")) for k, t in want)
+    if scheme == "file":
+        assert not list((tmp_path / "d").glob("_*")) and max(len(list(p.iterdir())) for p in (tmp_path / "d").glob("*/*")) <= 2
